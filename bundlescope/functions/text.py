@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -10,18 +9,26 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def word_pattern(words: Iterable[str]) -> str:
-    """Alternation that finds any of the words, each taken literally."""
-    return "|".join(re.sub(r"([^\w\s])", r"\\\1", word) for word in words)
+def shortest_words(words: Iterable[str]) -> list[str]:
+    """The words without those that contain another one: finding "bit" finds "bitcoin"."""
+    listed = list(dict.fromkeys(words))
+    return [w for w in listed if not any(other != w and other in w for other in listed)]
 
 
 def mentions(columns: Sequence[str | Column], words: Iterable[str]) -> Column:
-    """True when any column contains any word: unanchored and case-sensitive.
+    """True when any column contains any word, unanchored and case-sensitive.
 
-    SQL three-valued OR, so a NULL column does not hide a hit in another one.
+    The same as matching an alternation of the literal words, but a byte search
+    per word is several times faster than a backtracking matcher on long text,
+    and one ``exists`` over the list keeps the generated code small. Both it and
+    OR are three-valued, so a NULL column does not hide a hit in another one.
     """
-    pattern = word_pattern(words)
-    hits = [(F.col(c) if isinstance(c, str) else c).rlike(pattern) for c in columns]
+    listed = F.array(*[F.lit(word) for word in shortest_words(words)])
+
+    def hit(text: Column) -> Column:
+        return F.exists(listed, lambda word: F.contains(text, word))
+
+    hits = [hit(F.col(c) if isinstance(c, str) else c) for c in columns]
     return reduce(lambda left, right: left | right, hits)
 
 

@@ -18,7 +18,9 @@ def local_session(name: str, cpus: int | str = "*", **conf: str) -> SparkSession
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="bundlescope-warehouse-"),
         **conf,
     }
