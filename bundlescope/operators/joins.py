@@ -35,19 +35,27 @@ def fits_broadcast(
 
 
 def salted_left_join(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, salts: int = SALTS
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    salts: int = SALTS,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Left equi join whose hot (or NULL) keys are spread over several tasks.
 
     Every left row gets a salt from its own content, so a recomputed task salts
-    it the same way, and every right row is repeated once per salt.
+    it the same way, and every right row is repeated once per salt. ``null_safe``
+    lets NULL match NULL.
     """
     salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts))
     salted = left.withColumn("_salt", salt)
     repeated = right.withColumn(
         "_right_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
     )
-    matches = (salted[left_key] == repeated[right_key]) & (salted["_salt"] == repeated["_right_salt"])
+    left_column, right_column = salted[left_key], repeated[right_key]
+    same = left_column.eqNullSafe(right_column) if null_safe else left_column == right_column
+    matches = same & (salted["_salt"] == repeated["_right_salt"])
     return salted.join(repeated, matches, "left").drop("_salt", "_right_salt")
 
 

@@ -68,18 +68,27 @@ def join_persona_index(segmented: DataFrame, ref_persona: DataFrame) -> DataFram
 
 
 def bundle_totals(base: DataFrame) -> DataFrame:
-    """Devices per app over the distinct metadata rows, before any join repeats them."""
-    return base.groupBy("bundle").agg(F.sum("unique_ifa").cast("double").alias("ifa_cnt"))
+    """Devices per app over the distinct metadata rows, before any join repeats them.
+
+    The total of rows without an app is NULL.
+    """
+    total = F.sum("unique_ifa").cast("double")
+    return base.groupBy("bundle").agg(
+        F.when(F.col("bundle").isNotNull(), total).alias("ifa_cnt")
+    )
 
 
 def attach_totals(rows: DataFrame, totals: DataFrame) -> DataFrame:
     """Every row of an app gets the app's total; a NULL app gets NULL.
 
     Salted: one app may hold a large part of all rows, and the totals, one row
-    per app, are not bounded either.
+    per app, are not bounded either. NULL matches NULL, because the IS NOT NULL
+    that a plain equality adds to the totals would make their shuffle of distinct
+    rows differ from that of the rows, and Spark could not use one for both.
     """
     reference = totals.withColumnRenamed("bundle", "ref_bundle")
-    return salted_left_join(rows, reference, "bundle", "ref_bundle").drop("ref_bundle")
+    joined = salted_left_join(rows, reference, "bundle", "ref_bundle", null_safe=True)
+    return joined.drop("ref_bundle")
 
 
 def segmented_list(

@@ -1,0 +1,122 @@
+import pytest
+
+from bundlescope import schemas
+from bundlescope.functions import html
+from bundlescope.operators import metadata
+from pyspark.sql import functions as F
+
+DEFAULT = ("", "", "", "Not Found", "", "", "")
+A_URL = "https://play.google.com/store/apps/details?id=com.x"
+B_URL = "https://arkapk.com/app/com.x"
+
+
+def one(spark, bundle, lookup=None, page=None, alt=None):
+    df = spark.createDataFrame([(bundle, lookup, page, alt)], schemas.PAYLOADS)
+    info = metadata.store_metadata(df).first()["mapped_info"]
+    return None if info is None else tuple(info)
+
+
+@pytest.mark.parametrize(
+    "lookup,want",
+    [
+        (
+            '{"resultCount":1,"results":[{"trackViewUrl":"u","trackName":"n","description":"d",'
+            '"primaryGenreName":"Games","averageUserRating":4.5,"ageRating":"4+",'
+            '"contentAdvisoryRating":"9+"}]}',
+            ("u", "n", "d", "Games", "4.5", "4+", "9+"),
+        ),
+        ('{"resultCount":1,"results":[{"trackName":"n"},{"trackName":"m"}]}', ("", "n", "", "", "", "", "")),
+        ('{"resultCount":1,"results":[{"trackName":null}]}', ("", None, "", "", "", "", "")),
+        ('{"resultCount":0,"results":[]}', DEFAULT),
+        ('{"resultCount":2,"results":[]}', DEFAULT),
+        ('{"resultCount":2}', DEFAULT),
+        ('{"results":[{"trackName":"n"}]}', DEFAULT),
+        ('{"resultCount":1,"results":[{"trackName":"n"}]', DEFAULT),
+        ("<html>busy</html>", DEFAULT),
+        ("", DEFAULT),
+        (None, DEFAULT),
+    ],
+)
+def test_lookup(spark, lookup, want):
+    assert one(spark, "123", lookup, page="<h1 itemprop='name'>ignored</h1>") == want
+
+
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        (
+            '<h1 itemprop="name"><span>A &amp; B</span></h1>'
+            '<a itemprop="genre" href="/c/game_word">x</a><img class="T75of E1GfKc" alt="3+">',
+            (A_URL, "A & B", "", "GAME_WORD", "", "3+", ""),
+        ),
+        (
+            "<H1 class='t' ITEMPROP='name' id=q> n </H1><a href='x/y' itemprop='genre' rel='z'>x</a>",
+            (A_URL, " n ", "", "Y", "", "", ""),
+        ),
+        ("<p>nothing here</p>", (A_URL, "", "", "", "", "", "")),
+        ("", (A_URL, "", "", "", "", "", "")),
+        ('<h1 itemprop="named">x</h1><h1>y</h1>', (A_URL, "", "", "", "", "", "")),
+        ('<!-- <h1 itemprop="name">old</h1> --><h1 itemprop="name">new</h1>', (A_URL, "new", "", "", "", "", "")),
+        ('<script>"<h1 itemprop=\\"name\\">js</h1>"</script>', (A_URL, "", "", "", "", "", "")),
+        ('<a itemprop="genre" href="plain">x</a>', (A_URL, "", "", "PLAIN", "", "", "")),
+        ('<a itemprop="genre" href="/ends/">x</a>', (A_URL, "", "", "", "", "", "")),
+        ('<a title="a > b" itemprop="genre" href="/g">x</a>', (A_URL, "", "", "G", "", "", "")),
+        ('<img class="T75of" alt="no">', (A_URL, "", "", "", "", "", "")),
+    ],
+)
+def test_store_a(spark, page, want):
+    assert one(spark, "com.x", page=page, alt="<h1 itemprop='name'>other store</h1>") == want
+
+
+@pytest.mark.parametrize(
+    "page", [None, '<a itemprop="genre">x</a>', '<img class="T75of E1GfKc">']
+)
+def test_store_b_when_store_a_fails(spark, page):
+    alt = (
+        '<h1 itemprop="name">n</h1><meta itemprop="applicationCategory" content="broad">'
+        '<meta content="SUB category" itemprop="applicationSubCategory"/>'
+    )
+    assert one(spark, "com.x", page=page, alt=alt) == (B_URL, "n", "", "Sub category", "", "", "")
+
+
+def test_store_b_edges(spark):
+    broad = '<meta itemprop="applicationCategory" content="tOOls">'
+    assert one(spark, "com.x", alt=broad) == (B_URL, "", "", "Tools", "", "", "")
+    assert one(spark, "com.x", alt="") == (B_URL, "", "", "", "", "", "")
+    assert one(spark, "com.x", alt='<meta itemprop="applicationCategory">') == DEFAULT
+    assert one(spark, "com.x") == DEFAULT
+    assert one(spark, "") == DEFAULT
+
+
+def test_null_app_stays_null(spark):
+    assert one(spark, None, '{"resultCount":0}', "<p>", "<p>") is None
+
+
+def test_look_up_keeps_every_app_once(spark):
+    apps = spark.createDataFrame([("1", 5), ("com.x", 6), ("com.gone", 7)], schemas.UNKNOWN_APPS)
+    payloads = spark.createDataFrame(
+        [
+            ("1", '{"resultCount":1,"results":[{"trackName":"one"}]}', None, None),
+            ("com.x", None, '<h1 itemprop="name">x</h1>', None),
+            ("com.unasked", None, "<p>", None),
+        ],
+        schemas.PAYLOADS,
+    )
+    got = {r["bundle"]: r["mapped_info"] for r in metadata.look_up(apps, payloads).collect()}
+    assert set(got) == {"1", "com.x", "com.gone"}
+    assert got["1"]["appl_name"] == "one" and got["com.x"]["appl_name"] == "x"
+    assert tuple(got["com.gone"]) == DEFAULT
+
+
+def test_long_page_is_read_to_its_end(spark):
+    page = "<div>" + "<p class='a'>filler text</p>" * 40000 + "<h1 itemprop='name'>end</h1></div>"
+    assert one(spark, "com.x", page=page)[1] == "end"
+
+
+def test_attributes(spark):
+    df = spark.createDataFrame([("<a data-href='no' HREF = \"a&amp;b\" x>", )], "t string")
+    got = df.select(
+        html.attribute_of(F.col("t"), "href").alias("href"),
+        html.attribute_of(F.col("t"), "alt").alias("alt"),
+    ).first()
+    assert tuple(got) == ("a&b", None)
