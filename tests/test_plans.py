@@ -1,0 +1,112 @@
+"""What the physical plans must and must not contain."""
+
+import pytest
+
+import __spark_entry__ as driver
+from bundlescope import schemas
+from bundlescope.operators import batching, joins, metadata, usage
+
+FOLDER = "/root/testdata/sf0.001"
+NO_BROADCAST = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+}
+
+
+@pytest.fixture
+def large_tables(spark):
+    """Plan as if every table were too large for Spark to broadcast by itself."""
+    before = {key: spark.conf.get(key, None) for key in NO_BROADCAST}
+    for key, value in NO_BROADCAST.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(set(driver.queries()) - {"monthly_refresh_view"}))
+def test_no_python_no_cross_join_no_single_task_sort(spark, name):
+    text = plan(driver.queries()[name](spark, FOLDER))
+    for unwanted in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin", "Window"):
+        assert unwanted not in text
+
+
+def test_known_apps_go_before_the_shuffle_when_the_list_is_small(spark, large_tables):
+    text = plan(driver.queries()["unknown_apps"](spark, FOLDER))
+    first_shuffle = text.index("Exchange hashpartitioning(country")
+    assert "BroadcastHashJoin" in text and text.index("LeftAnti") > first_shuffle
+
+
+def test_known_apps_go_after_counting_when_the_list_is_large(spark, large_tables):
+    text = plan(driver.queries()["unknown_apps_large_list"](spark, FOLDER))
+    assert "SortMergeJoin" in text and "BroadcastExchange" not in text
+    assert text.index("LeftAnti") < text.index("count(distinct")
+
+
+def test_counting_spreads_a_hot_app_by_device(spark):
+    text = plan(driver.queries()["unique_devices"](spark, FOLDER))
+    assert text.count("partial_count(distinct ifa") == 1
+    spread = [line for line in text.split("\n") if "hashpartitioning(country" in line]
+    assert any("ifa" in line for line in spread)
+
+
+def test_a_large_reference_is_joined_by_key_and_salt(spark, large_tables):
+    text = plan(driver.queries()["segment_join_large_reference"](spark, FOLDER))
+    assert "_salt" in text and "BroadcastHashJoin" not in text
+
+
+def test_both_uses_of_the_distinct_rows_share_a_shuffle(spark, large_tables):
+    df = driver.queries()["segmented_list"](spark, FOLDER)
+    df.collect()
+    assert "ReusedExchange" in plan(df)
+
+
+def test_numbering_has_no_single_partition(spark):
+    df = spark.createDataFrame([(f"a{n}", n) for n in range(100)], schemas.UNKNOWN_APPS)
+    text = plan(batching.batched(df))
+    assert "SinglePartition" not in text and "Window" not in text
+
+
+def test_pending_reduces_the_done_list_before_its_shuffle(spark, large_tables):
+    apps = spark.createDataFrame([("a", 1)], schemas.UNKNOWN_APPS)
+    done = spark.createDataFrame([("a",), ("a",)], "bundle string")
+    text = plan(batching.pending(apps, done))
+    right = text[text.index("LeftAnti"):].split("Exchange hashpartitioning")[-1]
+    assert "HashAggregate" in right
+
+
+def test_metadata_is_map_only(spark):
+    payloads = spark.createDataFrame([("a", None, "<p>", None)], schemas.PAYLOADS)
+    assert "Exchange" not in plan(metadata.store_metadata(payloads))
+
+
+def test_pages_are_parsed_before_the_join(spark, large_tables):
+    apps = spark.createDataFrame([("a", 1)], schemas.UNKNOWN_APPS)
+    payloads = spark.createDataFrame([("a", None, "<p>", None)], schemas.PAYLOADS)
+    text = plan(metadata.look_up(apps, payloads))
+    shuffled = [line for line in text.split("\n") if "Exchange hashpartitioning" in line]
+    assert shuffled and "LeftSemi" in text
+    after = text[: text.index("LeftSemi")]
+    assert "html" not in after.split("Exchange hashpartitioning")[0]
+
+
+def test_partition_columns_only_for_missing_days(spark, tmp_path):
+    df = spark.createDataFrame(
+        [("MY", "20200101", "a", [("x",)])],
+        "country string, date string, ifa string, app array<struct<bundle: string>>",
+    )
+    df.write.partitionBy("country", "date").parquet(str(tmp_path / "s"))
+    read = spark.read.schema(
+        "ifa string, app array<struct<bundle: string>>, country string, date string"
+    ).parquet(str(tmp_path / "s"))
+    text = plan(usage.missing_partitions(spark, read, "20200101", "20200102"))
+    assert "ReadSchema: struct<>" in text
+
+
+def test_size_check_brings_one_row_to_the_driver(spark):
+    df = spark.createDataFrame([("a", [1], None)], "t string, l array<int>, n int")
+    assert joins.fits_broadcast(df)
