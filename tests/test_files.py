@@ -1,4 +1,5 @@
 from datetime import date
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -159,16 +160,15 @@ def test_dates(spark):
     assert tuple(days.first()) == (["20200228", "20200229", "20200301"], [])
 
 
-def test_shared_folder_is_the_one_the_session_names(spark):
-    before = spark.conf.get(session.CHECKPOINT_DIR, None)
-    try:
-        spark.conf.set(session.CHECKPOINT_DIR, "/shared/folder/")
-        assert session.shared_dir(spark) == "/shared/folder"
-        assert session.scratch_path(spark, "x").startswith("/shared/folder/x-")
-        spark.conf.set(session.CHECKPOINT_DIR, "")
-        assert session.shared_dir(spark).endswith(spark.sparkContext.applicationId)
-    finally:
-        if before is None:
-            spark.conf.unset(session.CHECKPOINT_DIR)
-        else:
-            spark.conf.set(session.CHECKPOINT_DIR, before)
+def stand_in(master, **conf):
+    context = SimpleNamespace(master=master, applicationId="app-1")
+    return SimpleNamespace(conf=conf, sparkContext=context)
+
+
+def test_shared_folder_is_the_one_the_session_names():
+    named = stand_in("spark://host:7077", **{session.CHECKPOINT_DIR: "hdfs:///shared/folder/"})
+    assert session.shared_dir(named) == "hdfs:///shared/folder"
+    assert session.scratch_path(named, "x").startswith("hdfs:///shared/folder/x-")
+    assert session.shared_dir(stand_in("local[8]")).endswith("/app-1")
+    with pytest.raises(ValueError, match="shared by all executors"):
+        session.shared_dir(stand_in("yarn"))
