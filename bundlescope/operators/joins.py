@@ -45,8 +45,9 @@ def salted_left_join(
     """Left equi join whose hot (or NULL) keys are spread over several tasks.
 
     Every left row gets a salt from its own content, so a recomputed task salts
-    it the same way, and every right row is repeated once per salt. ``null_safe``
-    lets NULL match NULL.
+    it the same way, and every right row is repeated once per salt. Exact copies
+    share a salt; a mass of them is left to the adaptive skew join, which can split
+    it because both sides are plain shuffles. ``null_safe`` lets NULL match NULL.
     """
     salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts))
     salted = left.withColumn("_salt", salt)

@@ -123,16 +123,28 @@ def store_metadata(payloads: DataFrame) -> DataFrame:
     return rows.select("bundle", found.alias("mapped_info"))
 
 
+def one_record_per_app(found: DataFrame) -> DataFrame:
+    """One record for an app fetched several times: a found one, and of those the smallest.
+
+    A minimum, so that map tasks reduce a much-fetched app before the shuffle.
+    """
+    missed = F.col("mapped_info") == not_found()
+    best = F.min(F.struct(missed.alias("missed"), "mapped_info"))
+    chosen = found.groupBy("bundle").agg(best.alias("_best"))
+    return chosen.select("bundle", F.col("_best.mapped_info").alias("mapped_info"))
+
+
 def look_up(apps: DataFrame, payloads: DataFrame) -> DataFrame:
     """Attach ``mapped_info`` to batched apps; an app without payloads is Not Found.
 
-    ``payloads`` holds one row per app. A list of apps that measures small is
-    broadcast first, so that only payloads asked for are parsed.
+    A list of apps that measures small is broadcast first, so that only payloads
+    asked for are parsed.
     """
     wanted = apps.select("bundle")
     if fits_broadcast(wanted):
         payloads = payloads.join(F.broadcast(wanted), "bundle", "left_semi")
-    found = store_metadata(payloads).select(F.col("bundle").alias("_bundle"), "mapped_info")
+    found = one_record_per_app(store_metadata(payloads))
+    found = found.withColumnRenamed("bundle", "_bundle")
     joined = apps.join(found, apps["bundle"] == found["_bundle"], "left")
     missing = F.col("mapped_info").isNull() & F.col("bundle").isNotNull()
     info = F.when(missing, not_found()).otherwise(F.col("mapped_info"))

@@ -108,6 +108,14 @@ def test_look_up_keeps_every_app_once(spark):
     assert tuple(got["com.gone"]) == DEFAULT
 
 
+def test_an_app_fetched_twice_gets_one_record(spark):
+    apps = spark.createDataFrame([("com.x", 5)], schemas.UNKNOWN_APPS)
+    pages = [None, '<h1 itemprop="name">b</h1>', '<h1 itemprop="name">a</h1>']
+    payloads = spark.createDataFrame([("com.x", None, p, None) for p in pages], schemas.PAYLOADS)
+    got = metadata.look_up(apps, payloads).collect()
+    assert [r["mapped_info"]["appl_name"] for r in got] == ["a"]
+
+
 def test_long_page_is_read_to_its_end(spark):
     page = "<div>" + "<p class='a'>filler text</p>" * 40000 + "<h1 itemprop='name'>end</h1></div>"
     assert one(spark, "com.x", page=page)[1] == "end"
