@@ -410,7 +410,7 @@ def json_batches(i: Inputs) -> DataFrame:
     path = scratch_path(i.spark, "batches")
     batches = batching.batched(_all_audiences(i))
     for _ in range(2):
-        sinks.write_batches(batches, path)
+        sinks.replace_batches(batches, path)
     schema = "bundle string, unique_ifa bigint, rn bigint, grp bigint"
     return i.spark.read.schema(schema).json(path)
 

@@ -19,12 +19,17 @@ def append_json(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
-def write_batches(df: DataFrame, path: str, batch: str = "grp") -> None:
-    """All batches in one job, a folder per batch.
+def append_batches(df: DataFrame, path: str, batch: str = "grp") -> None:
+    """All batches in one job, a folder per batch, beside what is there.
 
-    A rerun replaces the batches it holds and leaves others alone, so a run that
-    died half way can simply be repeated.
+    Together with skipping apps that have a result this is a resumable load: a
+    run that fails commits nothing and can simply be repeated.
     """
+    df.write.partitionBy(batch).mode("append").json(path)
+
+
+def replace_batches(df: DataFrame, path: str, batch: str = "grp") -> None:
+    """Replace the batches at hand and leave others alone, for one fixed numbered list."""
     writer = df.write.partitionBy(batch).mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").json(path)
 

@@ -1,6 +1,6 @@
 """Metadata for payloads as they arrive.
 
-The batch way to resume is ``batching.pending`` plus ``sinks.write_batches``. The
+The batch way to resume is ``batching.pending`` plus ``sinks.append_batches``. The
 same as a stream: the checkpoint remembers which payload files are done, each
 trigger handles the new ones and appends their results.
 """

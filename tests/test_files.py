@@ -75,8 +75,8 @@ def test_appending_and_replacing_batches(spark, tmp_path):
     appended, replaced = str(tmp_path / "append"), str(tmp_path / "replace")
     for _ in range(2):
         sinks.append_json(df, appended)
-        sinks.write_batches(df, replaced)
-    sinks.write_batches(df.where("grp = 2"), replaced)
+        sinks.replace_batches(df, replaced)
+    sinks.replace_batches(df.where("grp = 2"), replaced)
     assert spark.read.json(appended).count() == 6
     assert spark.read.json(replaced).count() == 3
 
