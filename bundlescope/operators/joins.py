@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-SALTS = 16
+HOT_ROWS = 500_000
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -39,20 +39,35 @@ def salted_left_join(
     right: DataFrame,
     left_key: str,
     right_key: str,
-    salts: int = SALTS,
+    hot_rows: int = HOT_ROWS,
     null_safe: bool = False,
 ) -> DataFrame:
     """Left equi join whose hot (or NULL) keys are spread over several tasks.
 
-    Every left row gets a salt from its own content, so a recomputed task salts
-    it the same way, and every right row is repeated once per salt. Exact copies
-    share a salt; a mass of them is left to the adaptive skew join, which can split
-    it because both sides are plain shuffles. ``null_safe`` lets NULL match NULL.
+    A key with more than ``hot_rows`` left rows gets one salt per ``hot_rows`` of
+    them, and its right rows are repeated once per salt; all other keys are joined
+    as they are. At most one key in ``hot_rows`` left rows can be hot, which
+    bounds the broadcast list of them.
+
+    Left rows are salted by their own content, so a recomputed task salts them
+    the same way. Exact copies share a salt; a mass of them is left to the
+    adaptive skew join, which can split it because both sides are plain shuffles.
+    ``null_safe`` lets NULL match NULL.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts))
-    salted = left.withColumn("_salt", salt)
-    repeated = right.withColumn(
-        "_right_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
+    counted = left.groupBy(F.col(left_key).alias("_hot")).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = F.broadcast(
+        counted.where(F.col("_rows") > hot_rows).select(
+            "_hot", F.ceil(F.col("_rows") / hot_rows).alias("_salts")
+        )
+    )
+    salts = F.coalesce("_salts", F.lit(1).cast("bigint"))
+    content = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
+    salted = left.join(hot, left[left_key].eqNullSafe(hot["_hot"]), "left").select(
+        *left.columns, F.pmod(content, salts).alias("_salt")
+    )
+    repeated = right.join(hot, right[right_key].eqNullSafe(hot["_hot"]), "left").select(
+        *right.columns,
+        F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)).alias("_right_salt"),
     )
     left_column, right_column = salted[left_key], repeated[right_key]
     same = left_column.eqNullSafe(right_column) if null_safe else left_column == right_column

@@ -69,10 +69,33 @@ def test_salted_and_broadcast_joins_agree(spark):
         [(k, n) for n in range(300) for k in (["hot", None, f"k{n}"])], "k string, n int"
     )
     right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k5", 3), (None, 4)], "r string, v int")
-    small = joins.lookup_join(left, right, "k", "r")
+    small = sorted(map(repr, joins.lookup_join(left, right, "k", "r").collect()))
+    assert len(small) == 300 * 2 + 300 + 300
     large = joins.lookup_join(left, right, "k", "r", max_rows=0)
-    assert sorted(map(repr, small.collect())) == sorted(map(repr, large.collect()))
-    assert small.count() == 300 * 2 + 300 + 300
+    assert sorted(map(repr, large.collect())) == small
+    for hot_rows in (1, 7, 299, 300):
+        salted = joins.salted_left_join(left, right, "k", "r", hot_rows)
+        assert sorted(map(repr, salted.collect())) == small
+
+
+def test_null_safe_salted_join(spark):
+    left = spark.createDataFrame([(None, n) for n in range(20)] + [("a", 1)], "k string, n int")
+    right = spark.createDataFrame([(None, 4)], "r string, v int")
+    for hot_rows in (3, 100):
+        got = joins.salted_left_join(left, right, "k", "r", hot_rows, null_safe=True)
+        assert sorted((r["k"] or "-", r["v"]) for r in got.collect()) == [("-", 4)] * 20 + [("a", None)]
+
+
+def test_a_hot_key_is_split_and_others_are_not(spark):
+    left = spark.createDataFrame(
+        [("hot", n) for n in range(1000)] + [(f"k{n}", n) for n in range(100)], "k string, n int"
+    )
+    right = spark.createDataFrame([("hot", 1), ("k1", 2)], "r string, v int")
+    plan = joins.salted_left_join(left, right, "k", "r", 100)._jdf.queryExecution()
+    assert "_salt" in plan.optimizedPlan().toString()
+    got = joins.salted_left_join(left, right, "k", "r", 100)
+    assert got.where("k = 'hot' and v = 1").count() == 1000
+    assert got.where("v = 2").count() == 1 and got.count() == 1100
 
 
 def test_broadcast_is_refused_by_rows_and_by_bytes(spark):
