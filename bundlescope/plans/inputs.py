@@ -165,8 +165,9 @@ SELECT '20000201-20000229' AS source,
 FROM fx_persona_rows WHERE p_size >= 20
 """,
     # An earlier batch result per order line: an app is repeated, partly with equal counts.
+    # The hint (a comment to DuckDB) keeps small data from being joined in one task.
     "fx_metadata": """
-SELECT a.bundle, a.link AS app_url, a.app_name AS appl_name, a.details AS app_detail, a.app_cat,
+SELECT /*+ MERGE(a) */ a.bundle, a.link AS app_url, a.app_name AS appl_name, a.details AS app_detail, a.app_cat,
   a.app_rank, 'Rated for 3+' AS app_age_grp, '' AS app_age_grp2, l.l_quantity AS unique_ifa
 FROM lineitem l JOIN fx_app a ON l.l_partkey = a.p_partkey
 """,

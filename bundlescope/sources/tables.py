@@ -44,7 +44,7 @@ def publish_version(df: DataFrame, table: str, root: str, version: str) -> str:
 
     Never the folder that is being read, so the new list may be computed from the
     table itself; readers see the old version or the new one. A version that
-    exists already is an error.
+    exists already is an error: repeat a failed write under another name.
     """
     spark = df.sparkSession
     location = f"{root.rstrip('/')}/version={version}"
