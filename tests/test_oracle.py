@@ -6,12 +6,12 @@ from decimal import Decimal
 import duckdb
 import pytest
 
-import __spark_entry__ as driver
+from bundlescope.plans import oracle, registry
 from bundlescope.plans.inputs import TABLES
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = driver.queries()
-ORACLE = driver.oracle_sql()
+QUERIES = registry.registered()
+ORACLE = oracle.statements()
 
 
 @pytest.fixture(scope="module")
