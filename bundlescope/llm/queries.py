@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from bundlescope.llm.line_dedup import OP7_SQL, op7_line_dedup
 from bundlescope.llm.packing import op3_best_fit_packing
+from bundlescope.llm.quality import OP6_SQL, op6_quality_rules
 from bundlescope.llm.token_files import op1_token_files
 
 
@@ -14,8 +16,10 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
         "op3_best_fit_packing": op3_best_fit_packing,
+        "op6_quality_rules": op6_quality_rules,
+        "op7_line_dedup": op7_line_dedup,
     }
 
 
 def statements() -> dict[str, str]:
-    return {}
+    return {"op6_quality_rules": OP6_SQL, "op7_line_dedup": OP7_SQL}
