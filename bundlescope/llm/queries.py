@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from bundlescope.llm.line_dedup import OP7_SQL, op7_line_dedup
+from bundlescope.llm.near_dups import op2_minhash_near_dedup
 from bundlescope.llm.packing import op3_best_fit_packing
 from bundlescope.llm.quality import OP6_SQL, op6_quality_rules
 from bundlescope.llm.token_files import op1_token_files
@@ -15,6 +16,7 @@ from bundlescope.llm.token_files import op1_token_files
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
+        "op2_minhash_near_dedup": op2_minhash_near_dedup,
         "op3_best_fit_packing": op3_best_fit_packing,
         "op6_quality_rules": op6_quality_rules,
         "op7_line_dedup": op7_line_dedup,
