@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from bundlescope.llm.line_dedup import OP7_SQL, op7_line_dedup
 from bundlescope.llm.near_dups import op2_minhash_near_dedup
 from bundlescope.llm.packing import op3_best_fit_packing
+from bundlescope.llm.pii import op4_pii
 from bundlescope.llm.quality import OP6_SQL, op6_quality_rules
 from bundlescope.llm.token_files import op1_token_files
+from bundlescope.llm.toxicity import op5_toxicity
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +20,8 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_files": op1_token_files,
         "op2_minhash_near_dedup": op2_minhash_near_dedup,
         "op3_best_fit_packing": op3_best_fit_packing,
+        "op4_pii": op4_pii,
+        "op5_toxicity": op5_toxicity,
         "op6_quality_rules": op6_quality_rules,
         "op7_line_dedup": op7_line_dedup,
     }
