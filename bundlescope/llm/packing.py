@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bundlescope.llm.arrow import ragged, stored, table, text_slices
-from bundlescope.llm.tokens import Encoder, library_path, with_end
+from bundlescope.llm.tokens import encoder, library_path, with_end
 
 CAPACITY = 2048
 _PIECE = (
@@ -52,10 +52,10 @@ def encoded_pieces(
     """
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, task = Encoder(tokenizer), TaskContext.get().partitionId()
+        known, task = encoder(tokenizer), TaskContext.get().partitionId()
         made = np.zeros(capacity + 1, np.int64)
         for batch, texts in text_slices(batches, "text"):
-            ids, bounds = with_end(*encoder.encode(texts), end_id)
+            ids, bounds = with_end(*known.encode(texts), end_id)
             totals = np.diff(bounds)
             parts = -(-totals // capacity)
             owner = np.repeat(np.arange(len(totals)), parts)

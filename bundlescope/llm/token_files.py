@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bundlescope.llm.arrow import table, text_slices
-from bundlescope.llm.tokens import Encoder, library_path, with_end
+from bundlescope.llm.tokens import encoder, library_path, with_end
 from bundlescope.session import scratch_path
 
 NULL_DOC = np.iinfo(np.int64).min
@@ -80,7 +80,7 @@ def write(
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, name = TaskContext.get().partitionId(), uuid.uuid4().hex
-        encoder, highest = Encoder(tokenizer), np.iinfo(np.dtype(id_type)).max
+        known, highest = encoder(tokenizer), np.iinfo(np.dtype(id_type)).max
         system, path = _file_system(folder)
         system.create_dir(path, recursive=True)
         n_docs = n_tokens = 0
@@ -91,7 +91,7 @@ def write(
         ):
             offsets_file.write(np.zeros(1, "<u8").tobytes())
             for batch, texts in text_slices(batches, "text"):
-                ids, bounds = with_end(*encoder.encode(texts), end_id)
+                ids, bounds = with_end(*known.encode(texts), end_id)
                 if len(ids) and ids.max() > highest:
                     raise ValueError(f"an id does not fit {id_type}")
                 ids_file.write(ids.astype(id_type).tobytes())

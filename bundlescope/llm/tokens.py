@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 from array import array
 
@@ -58,6 +59,12 @@ class Encoder:
         return ids, np.concatenate([[0], np.cumsum(lengths)])[bounds]
 
 
+@functools.lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """The worker's encoder: its chunks stay known from one task to the next."""
+    return Encoder(path)
+
+
 def with_end(ids: np.ndarray, bounds: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """The same ids with one end id after each text."""
     out = np.insert(ids, bounds[1:], np.uint32(end))
