@@ -11,6 +11,7 @@ from bundlescope.llm.near_dups import op2_minhash_near_dedup
 from bundlescope.llm.packing import op3_best_fit_packing
 from bundlescope.llm.pii import op4_pii
 from bundlescope.llm.quality import OP6_SQL, op6_quality_rules
+from bundlescope.llm.repeats import op8_repeated_strings
 from bundlescope.llm.token_files import op1_token_files
 from bundlescope.llm.toxicity import op5_toxicity
 
@@ -24,6 +25,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_toxicity": op5_toxicity,
         "op6_quality_rules": op6_quality_rules,
         "op7_line_dedup": op7_line_dedup,
+        "op8_repeated_strings": op8_repeated_strings,
     }
 
 
