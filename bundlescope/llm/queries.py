@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from bundlescope.llm.decontamination import op10_benchmark_decontamination
+from bundlescope.llm.licenses import OP9_SQL, op9_license_scan
 from bundlescope.llm.line_dedup import OP7_SQL, op7_line_dedup
 from bundlescope.llm.near_dups import op2_minhash_near_dedup
 from bundlescope.llm.packing import op3_best_fit_packing
@@ -26,8 +28,10 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_quality_rules": op6_quality_rules,
         "op7_line_dedup": op7_line_dedup,
         "op8_repeated_strings": op8_repeated_strings,
+        "op9_license_scan": op9_license_scan,
+        "op10_benchmark_decontamination": op10_benchmark_decontamination,
     }
 
 
 def statements() -> dict[str, str]:
-    return {"op6_quality_rules": OP6_SQL, "op7_line_dedup": OP7_SQL}
+    return {"op6_quality_rules": OP6_SQL, "op7_line_dedup": OP7_SQL, "op9_license_scan": OP9_SQL}

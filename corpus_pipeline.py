@@ -3,17 +3,51 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from bundlescope.llm.decontamination import without_leaks
+from bundlescope.llm.line_dedup import without_common_lines
+from bundlescope.llm.near_dups import without_near_duplicates
 from bundlescope.llm.packing import packed_digest
+from bundlescope.llm.quality import kept_documents
 from bundlescope.session import scratch_path
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that their own rules and their host's verdict keep."""
+    return kept_documents(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that a later document keeps."""
+    found = without_common_lines(docs)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        length = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        found = found.withColumn("n_chars", length.cast(kind))
+    return found.select(*docs.columns)
+
+
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return without_near_duplicates(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of every document left, each with its sequence and place."""
     return packed_digest(docs)
 
 
 STAGES = [
+    ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("minhash near-dedup", minhash_near_dedup),
+    ("benchmark decontamination", benchmark_decontamination),
     ("best-fit packing", best_fit_packing),
 ]
 
