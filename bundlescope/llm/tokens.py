@@ -16,13 +16,25 @@ from bundlescope.llm.arrow import list_bounds, ragged
 CACHED_CHUNKS = 600_000
 
 
+def _parts(chunk: str) -> tuple[str, ...]:
+    """An ASCII word with marks behind it as the word and the marks, in lower case.
+
+    The tokenizer lower-cases, and it parts letters from marks before any merge.
+    """
+    stem = chunk.rstrip(".,!?;:")
+    if not stem.isascii() or not stem.isalpha():
+        return (chunk,)
+    return (stem.lower(), chunk[len(stem) :]) if len(stem) < len(chunk) else (stem.lower(),)
+
+
 class Encoder:
     """Ids of texts, by the ids of their chunks between ASCII white space.
 
     The tokenizer collapses white space and drops it before any merge, so no
     merge crosses a chunk and a text's ids are those of its chunks in a row. Each
     distinct chunk is encoded by the tokenizers library once and then looked up.
-    That holds for tokenizers that drop white space, as the default one does.
+    That holds for tokenizers that drop white space, lower-case and part letters
+    from other marks, as the default one does.
     """
 
     def __init__(self, path: str, cached: int = CACHED_CHUNKS):
@@ -36,6 +48,15 @@ class Encoder:
         self.slots: dict[str, int] = {}
         self.pool, self.starts = array("I"), array("q", [0])
 
+    def _keep(self, chunk: str, ids: list[int]) -> None:
+        self.slots[chunk] = len(self.starts) - 1
+        self.pool.extend(ids)
+        self.starts.append(len(self.pool))
+
+    def _ids(self, chunk: str) -> array:
+        slot = self.slots[chunk]
+        return self.pool[self.starts[slot] : self.starts[slot + 1]]
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids as unsigned 32-bit integers, and each text's bounds in them."""
         lists = pc.ascii_split_whitespace(texts)
@@ -45,13 +66,14 @@ class Encoder:
         if len(self.slots) + len(chunks) > self.cached:
             self.reset()
         slots = self.slots
-        unseen = [c for c in chunks if c not in slots]
-        for chunk, found in zip(
-            unseen, self.library.encode_batch_fast(unseen, add_special_tokens=False), strict=True
-        ):
-            slots[chunk] = len(self.starts) - 1
-            self.pool.extend(found.ids)
-            self.starts.append(len(self.pool))
+        split = {c: _parts(c) for c in chunks if c not in slots}
+        pieces = dict.fromkeys(p for parts in split.values() for p in parts if p not in slots)
+        found = self.library.encode_batch_fast(list(pieces), add_special_tokens=False)
+        for piece, encoded in zip(pieces, found, strict=True):
+            self._keep(piece, encoded.ids)
+        for chunk, parts in split.items():
+            if len(parts) > 1 or parts[0] != chunk:
+                self._keep(chunk, [n for p in parts for n in self._ids(p)])
         at = np.array([slots[c] for c in chunks], np.int64)[coded.indices.to_numpy()]
         starts, pool = np.array(self.starts), np.array(self.pool, np.uint32)
         lengths = starts[at + 1] - starts[at]
