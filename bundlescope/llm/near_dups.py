@@ -7,8 +7,8 @@ alike; the share of equal registers, corrected for registers that are equal by
 chance, estimates their similarity; what may pass is confirmed on the full sets.
 
 Texts with equal sets are one class from the start. Within a band's bucket no
-list of pairs is made: each class is first held against the smallest class of its
-bucket. What that links needs no more comparing; then, in buckets that still hold
+list of pairs is made: each class is first held against the smallest classes of its
+buckets, at most one per bucket, and of those that seem alike against three. What that links needs no more comparing; then, in buckets that still hold
 several components, the members outside the bucket's largest component are held
 against the others, so every pair of classes that share a bucket is either in one
 component already or is compared. With 32 bands of 5 registers a pair at 0.85 is
@@ -46,7 +46,8 @@ PERCENT = 80
 BANDS, ROWS = 32, 5
 REGISTERS = BANDS * ROWS
 MANTISSA = 10
-MARGIN = 6.0
+MARGIN = 4.0
+CENTERS = 3
 _MULTIPLIERS = np.random.default_rng(20240607).integers(0, 1 << 31, REGISTERS, np.uint32) * np.uint32(2) + np.uint32(1)
 
 
@@ -215,7 +216,8 @@ def near_duplicate_components(
         bands.join(buckets.where("center <> _last").drop("_last"), "band"), "buckets"
     )
     starred = shared.where("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
-    first = promising(starred, classes, percent).groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    alike = promising(starred, classes, percent).groupBy("b").agg(F.array_sort(F.collect_set("a")).alias("a"))
+    first = alike.select(F.explode(F.slice("a", 1, CENTERS)).alias("a"), "b")
     links = stored(confirmed(stored(first, "stars"), docs, words, percent), "links")
     found = components(links)
     more = stored(promising(_apart(shared, found, percent), classes, percent), "apart")
