@@ -41,6 +41,7 @@ MIN_COSINE = 0.6
 MIN_LCS = 0.6
 MIN_LCS_ANSWERED = 0.5
 ANSWER_WORDS = 5
+MAX_TERMS = 100_000
 MAX_ITEM_WORDS = 1_000_000
 _OUTER = ".,;:!?\"'()[]{}*#$%&|<>-_"
 
@@ -237,6 +238,16 @@ def _located_rows(docs: DataFrame, known: dict[str, int]) -> DataFrame:
     return chosen.mapInArrow(rows, _LOCATED)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of at most MAX_TERMS terms, or of one text that has more."""
+    for batch in batches:
+        bounds, start = list_bounds(batch.column("terms")), 0
+        while start < batch.num_rows:
+            stop = max(start + 1, int(np.searchsorted(bounds, bounds[start] + MAX_TERMS, side="right")) - 1)
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def _arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     terms, places = batch.column("terms"), batch.column("places")
     return terms.flatten().to_numpy(), places.flatten().to_numpy(), list_bounds(terms)
@@ -252,9 +263,12 @@ def summed(rows: DataFrame, size: int, width: int, kind: str, measure) -> np.nda
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
-        for batch in batches:
+        for batch in _slices(batches):
             part = measure(*_arrays(batch)).reshape(size, width)
-            total = part if total is None else total + part
+            if total is None:
+                total = part
+            else:
+                total += part
         if total is not None:
             cut = range(0, size, BLOCK)
             yield table(arrow, [[k // BLOCK for k in cut], [total[k : k + BLOCK].astype(kind).tobytes() for k in cut]])
@@ -294,7 +308,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     arrow = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("lcs", pa.float64()), ("answered", pa.bool_())])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             found = leaks_in(*_arrays(batch), *shared.value)
             at = pa.array([f[0] for f in found], pa.int64())
             ids = shared.value[2].ids
