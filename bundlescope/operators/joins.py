@@ -46,8 +46,8 @@ def salted_left_join(
 
     A key with more than ``hot_rows`` left rows gets one salt per ``hot_rows`` of
     them, and its right rows are repeated once per salt; all other keys are joined
-    as they are. At most one key in ``hot_rows`` left rows can be hot, which
-    bounds the broadcast list of them.
+    as they are. The list of hot keys is measured before it is broadcast; where it
+    is too long, a key needs more rows to be hot.
 
     Left rows are salted by their own content, so a recomputed task salts them
     the same way. Exact copies share a salt; a mass of them is left to the
@@ -55,11 +55,12 @@ def salted_left_join(
     ``null_safe`` lets NULL match NULL.
     """
     counted = left.groupBy(F.col(left_key).alias("_hot")).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = F.broadcast(
-        counted.where(F.col("_rows") > hot_rows).select(
-            "_hot", F.ceil(F.col("_rows") / hot_rows).alias("_salts")
-        )
+    hot = counted.where(F.col("_rows") > hot_rows).select(
+        "_hot", F.ceil(F.col("_rows") / hot_rows).alias("_salts")
     )
+    if not fits_broadcast(hot):
+        return salted_left_join(left, right, left_key, right_key, 2 * hot_rows, null_safe)
+    hot = F.broadcast(hot)
     salts = F.coalesce("_salts", F.lit(1).cast("bigint"))
     content = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
     salted = left.join(hot, left[left_key].eqNullSafe(hot["_hot"]), "left").select(

@@ -19,6 +19,17 @@ def segment_index_reference(master: DataFrame) -> DataFrame:
     return pairs.select("segment_grp_1", "segment_index").distinct()
 
 
+def smallest_segment_index(master: DataFrame) -> DataFrame:
+    """The reference with one index per group, the one that a row per app ends up with.
+
+    Rows that a group's several indexes would make of one row differ in the index
+    alone, and the smallest row is kept.
+    """
+    return segment_index_reference(master).groupBy("segment_grp_1").agg(
+        F.min("segment_index").alias("segment_index")
+    )
+
+
 def refresh_segment_index(new: DataFrame, reference: DataFrame) -> DataFrame:
     """Replace a list's index by the reference's; a group with several indexes fans out."""
     keyed = reference.withColumnRenamed("segment_grp_1", "_ref_group")
@@ -64,7 +75,7 @@ def one_row_per_app(*lists: DataFrame) -> DataFrame:
 def merge_lists(old: DataFrame, new: DataFrame) -> DataFrame:
     """Old list and re-indexed new list, one row per app, old rows first."""
     old, new = trim_column_names(old), trim_column_names(new)
-    refreshed = refresh_segment_index(new, segment_index_reference(old))
+    refreshed = refresh_segment_index(new, smallest_segment_index(old))
     return one_row_per_app(old, align(refreshed, old))
 
 

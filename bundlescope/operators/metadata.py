@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from bundlescope import fixed_values as fixed
 from bundlescope.functions import html
 from bundlescope.functions.text import capitalise, is_numeric_id
-from bundlescope.operators.joins import fits_broadcast
+from bundlescope.operators.joins import BROADCAST_MAX_ROWS, fits_broadcast
 
 LOOKUP_SCHEMA = "resultCount BIGINT, results ARRAY<MAP<STRING,STRING>>"
 
@@ -134,16 +134,21 @@ def one_record_per_app(found: DataFrame) -> DataFrame:
     return chosen.select("bundle", F.col("_best.mapped_info").alias("mapped_info"))
 
 
-def look_up(apps: DataFrame, payloads: DataFrame) -> DataFrame:
+def asked_for(payloads: DataFrame, apps: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """The payloads of the listed apps."""
+    wanted = apps.select("bundle")
+    if fits_broadcast(wanted, max_rows):
+        return payloads.join(F.broadcast(wanted), "bundle", "left_semi")
+    return payloads.join(wanted.distinct(), "bundle", "left_semi")
+
+
+def look_up(apps: DataFrame, payloads: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Attach ``mapped_info`` to batched apps; an app without payloads is Not Found.
 
-    A list of apps that measures small is broadcast first, so that only payloads
-    asked for are parsed.
+    Only payloads of listed apps are parsed, however long the list: a list that
+    measures small is broadcast, a longer one meets the payloads in a shuffle.
     """
-    wanted = apps.select("bundle")
-    if fits_broadcast(wanted):
-        payloads = payloads.join(F.broadcast(wanted), "bundle", "left_semi")
-    found = one_record_per_app(store_metadata(payloads))
+    found = one_record_per_app(store_metadata(asked_for(payloads, apps, max_rows)))
     found = found.withColumnRenamed("bundle", "_bundle")
     joined = apps.join(found, apps["bundle"] == found["_bundle"], "left")
     missing = F.col("mapped_info").isNull() & F.col("bundle").isNotNull()

@@ -41,7 +41,8 @@ def missing_partitions(
         .select(F.explode(F.array(*[F.lit(c) for c in countries])).alias("country"))
         .select("country", F.explode(day_sequence(start, end)).alias("date"))
     )
-    present = found.select("country", "date").distinct()
+    present = found.where(F.col("date").between(start, end) & F.col("country").isin(*countries))
+    present = present.select("country", "date").distinct()
     return expected.join(present, ["country", "date"], "left_anti")
 
 
@@ -71,6 +72,7 @@ def unknown_apps(
     known: DataFrame,
     max_rows: int = BROADCAST_MAX_ROWS,
     max_bytes: int = BROADCAST_MAX_BYTES,
+    small: bool | None = None,
 ) -> DataFrame:
     """Devices per country and app for apps not in the known list (NULL app kept).
 
@@ -78,10 +80,13 @@ def unknown_apps(
     taken out before or after counting. Measured small it is broadcast and
     removes known apps in the scan stage, before anything is shuffled; otherwise
     apps are counted first and only one row per country and app meets the list.
+    ``small`` is the outcome where the list has been measured already.
     """
     keys = categorised(known).select("bundle")
     apps = device_apps(sightings, "country")
-    if fits_broadcast(keys, max_rows, max_bytes):
+    if small is None:
+        small = fits_broadcast(keys, max_rows, max_bytes)
+    if small:
         return unique_devices(without(apps, keys, "bundle", broadcast=True), "country", "bundle")
     counted = unique_devices(apps, "country", "bundle")
     return without(counted, keys, "bundle").select("country", "bundle", "unique_ifa")

@@ -146,7 +146,8 @@ SELECT a.p_partkey, a.p_size, '20000101-20000131' AS source, a.bundle, r.store_c
     ELSE r.segment_grp END AS segment_grp_1,
   '' AS segment_grp_2, q.segment_index, '01/02/2000' AS last_update,
   CASE WHEN a.p_partkey % 5 = 0 THEN 'IOS' ELSE 'ANDROID' END AS platform,
-  a.app_name, a.details, a.link, a.app_rank, '' AS app_age_grp, '' AS app_age_grp2,
+  a.app_name, CASE WHEN a.p_partkey % 37 = 0 THEN ' two' || chr(10) || 'lines, "quoted" ' || chr(92) || ' '
+    ELSE a.details END AS details, a.link, a.app_rank, '' AS app_age_grp, '' AS app_age_grp2,
   CAST(a.p_partkey AS DOUBLE) AS ifa_cnt
 FROM fx_app a
 LEFT JOIN fx_ref_app r ON upper(a.app_cat) = r.app_cat
@@ -165,9 +166,8 @@ SELECT '20000201-20000229' AS source,
 FROM fx_persona_rows WHERE p_size >= 20
 """,
     # An earlier batch result per order line: an app is repeated, partly with equal counts.
-    # The hint (a comment to DuckDB) keeps small data from being joined in one task.
     "fx_metadata": """
-SELECT /*+ MERGE(a) */ a.bundle, a.link AS app_url, a.app_name AS appl_name, a.details AS app_detail, a.app_cat,
+SELECT a.bundle, a.link AS app_url, a.app_name AS appl_name, a.details AS app_detail, a.app_cat,
   a.app_rank, 'Rated for 3+' AS app_age_grp, '' AS app_age_grp2, l.l_quantity AS unique_ifa
 FROM lineitem l JOIN fx_app a ON l.l_partkey = a.p_partkey
 """,
@@ -182,11 +182,13 @@ SELECT bundle,
       || CASE WHEN p_partkey % 31 = 0 THEN '}]' ELSE '}]}' END END AS lookup_json,
   CASE WHEN p_partkey % 19 = 0 THEN CAST(NULL AS STRING) ELSE
     '<html><!-- <h1 itemprop="name">draft</h1> --><h1 class="t" itemprop="name">'
-      || '<span>' || app_name || '</span> &amp; more</h1>'
+      || '<span>' || app_name || '</span> &amp; more &#8211; caf&eacute;</h1>'
       || CASE WHEN p_partkey % 23 = 0 THEN '<a itemprop="genre">x</a>'
          WHEN p_partkey % 3 = 0 THEN ''
          WHEN p_partkey % 3 = 1 THEN '<a itemprop="genre" href="/store/apps/category/'
            || app_cat || '">x</a>'
+         WHEN p_partkey % 5 = 1 THEN '<a title="5" tall" itemprop=genre href=/store/apps/category/'
+           || replace(app_cat, ' ', '_') || '>x</a>'
          ELSE '<a href=''/store/apps/category/' || app_cat || ''' itemprop=''genre''>x</a>' END
       || CASE WHEN p_partkey % 2 = 0 THEN '<img alt="Rated for 3+" class="T75of E1GfKc"/>'
          ELSE '<img class="T75of" alt="logo">' END || '</html>' END AS html,
@@ -224,15 +226,8 @@ class Inputs:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        """A given table. One of a few blocks only is spread over the cores by its id.
-
-        Such a table comes as one row group, which one task would read and carry
-        through every map-side step. A table of many blocks is left as it is.
-        """
-        table = self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
-        cores = self.spark.sparkContext.defaultParallelism
-        few = 1 < table.rdd.getNumPartitions() < cores
-        return table.repartition(cores, table.columns[0]) if few else table
+        """A given table."""
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def sql(self, statement: str) -> DataFrame:
         """Run a statement over the derived inputs and the given tables it names."""

@@ -27,7 +27,6 @@ def list_unknown_apps(
     end: str,
     countries: Sequence[str] = COUNTRIES,
     plain_folders: bool = False,
-    single_file: bool = False,
 ) -> None:
     """Apps seen in the period but without a category, as CSV with one row per country and app.
 
@@ -37,7 +36,7 @@ def list_unknown_apps(
     read = files.read_sightings_by_path if plain_folders else files.read_sightings
     known = spark.table(master_table).select("bundle", "category")
     unknown = usage.unknown_apps(read(spark, sightings_root, start, end, countries), known)
-    sinks.write_csv(unknown.select("bundle", "unique_ifa"), out, single_file)
+    sinks.write_csv(unknown.select("bundle", "unique_ifa"), out)
 
 
 def look_up_pending(

@@ -118,7 +118,7 @@ def _persona_view(table: str) -> str:
 
 
 def _decoded(expression: str) -> str:
-    for reference, character in CHARACTER_REFERENCES:
+    for reference, character in (*CHARACTER_REFERENCES, ("&#8211;", "\u2013"), ("&eacute;", "\u00e9")):
         quoted = character.replace("'", "''")
         expression = f"replace({expression}, '{reference}', '{quoted}')"
     return expression
@@ -190,8 +190,8 @@ SELECT bundle, {_lookup_fields()} FROM (
     FROM fx_payload))""",
     "v_store_a": """
 SELECT bundle, {record} FROM (
-  SELECT bundle, page, regexp_extract(page, '<a [^>]*itemprop=.genre.[^>]*>') AS genre,
-    regexp_extract(page, 'href=["'']([^"'']*)["'']', 1) AS link,
+  SELECT bundle, page, regexp_extract(page, '<a [^>]*itemprop=.?genre.[^>]*>') AS genre,
+    regexp_extract(page, 'href=["'']?([^"''>]*)', 1) AS link,
     regexp_extract(page, 'alt="([^"]*)" class="T75of E1GfKc"', 1) AS age
   FROM (SELECT bundle, {page} AS page FROM fx_payload))""".format(
         page=_COMMENTLESS.format("html"),
@@ -319,6 +319,10 @@ CROSS JOIN (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2002-12-31',
 WHERE (c.country, strftime(d.day, '%Y%m%d')) NOT IN (SELECT (country, date) FROM fx_records)""",
     "unique_devices": "SELECT * FROM v_devices",
     "known_apps": "SELECT * FROM v_known",
+    "known_apps_file": "SELECT * FROM v_known",
+    "sightings_by_path": f"""
+SELECT * FROM fx_sightings
+WHERE date BETWEEN '20000228' AND '20000301' AND country IN ({_COUNTRIES})""",
     "unknown_apps": "SELECT * FROM v_unknown",
     "unknown_apps_large_list": "SELECT * FROM v_unknown",
     "union_of_countries": "SELECT bundle, unique_ifa FROM v_unknown_selected",
@@ -345,6 +349,20 @@ SELECT b.bundle, b.unique_ifa, b.rn, b.grp, {
             f"ELSE m.{f} END AS {f}" for f in fixed.METADATA_FIELDS
         )
     } FROM v_batched b LEFT JOIN v_metadata m ON b.bundle = m.bundle""",
+    "batch_metadata_large_list": f"""
+SELECT b.bundle, b.unique_ifa, b.rn, b.grp, {
+        ", ".join(
+            f"CASE WHEN m.bundle IS NULL THEN '{fixed.NOT_FOUND if f == 'app_cat' else ''}' "
+            f"ELSE m.{f} END AS {f}" for f in fixed.METADATA_FIELDS
+        )
+    } FROM v_batched b LEFT JOIN v_metadata m ON b.bundle = m.bundle""",
+    "batch_append": f"""
+SELECT b.bundle, CAST(b.unique_ifa AS DOUBLE) AS unique_ifa, {
+        ", ".join(
+            f"CASE WHEN m.bundle IS NULL THEN '{fixed.NOT_FOUND if f == 'app_cat' else ''}' "
+            f"ELSE m.{f} END AS {f}" for f in fixed.METADATA_FIELDS
+        )
+    } FROM v_batched b LEFT JOIN v_metadata m ON b.bundle = m.bundle""",
     "page_titles": f"""
 SELECT page_id, {_inner("page", "<title>", "title")} AS title,
   {_inner("page", "<h1>", "h1")} AS heading,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -21,6 +22,7 @@ from bundlescope.session import scratch_path
 from bundlescope.sources import files, sinks, tables
 
 PERIOD = ("20000201", "20000229")
+DAYS = ("20000228", "20000301")
 WHOLE_PERIOD = ("19950101", "20021231")
 RUN_DATE = date(2000, 3, 1)
 
@@ -42,6 +44,14 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # ---- usage -----------------------------------------------------------------
 
 
+def _laid_out(i: Inputs) -> str:
+    """The sightings as files by country and day, as the readers expect them."""
+    path = scratch_path(i.spark, "sightings")
+    rows = i.sightings().repartition("country", "date")
+    rows.write.partitionBy("country", "date").parquet(path)
+    return path
+
+
 @query
 def sightings_exploded(i: Inputs) -> DataFrame:
     return usage.device_apps(i.sightings(), "country", "date")
@@ -49,10 +59,23 @@ def sightings_exploded(i: Inputs) -> DataFrame:
 
 @query
 def sightings_pruned(i: Inputs) -> DataFrame:
-    chosen = usage.in_period(i.sightings(), *PERIOD)
+    """One month read from files; other days and countries are not opened."""
+    chosen = files.read_sightings(i.spark, _laid_out(i), *PERIOD)
     return usage.device_apps(chosen, "country", "date")
 
 
+@query
+def sightings_by_path(i: Inputs) -> DataFrame:
+    """Some days from plain folders, where country and day are read off the path."""
+    root, path = _laid_out(i), scratch_path(i.spark, "plain")
+    for country in fixed.COUNTRIES:
+        for day in dates.partition_days(*DAYS):
+            part = files.read_sightings(i.spark, root, day, day, [country])
+            part.select("ifa", "app").write.parquet(f"{path}/{country}/{day}")
+    read = files.read_sightings_by_path(i.spark, f"{path}/", *DAYS)
+    return usage.device_apps(read, "country", "date")
+
+
 @query
 def missing_partitions(i: Inputs) -> DataFrame:
     return usage.missing_partitions(i.spark, i.sightings(), *WHOLE_PERIOD)
@@ -69,6 +92,14 @@ def known_apps(i: Inputs) -> DataFrame:
     return usage.categorised(i.view("fx_known_apps"))
 
 
+@query
+def known_apps_file(i: Inputs) -> DataFrame:
+    """The known list written and read back as a file."""
+    path = scratch_path(i.spark, "known")
+    sinks.write_parquet(i.view("fx_known_apps"), path)
+    return usage.categorised(files.read_known_apps(i.spark, path))
+
+
 @query
 def unknown_apps(i: Inputs) -> DataFrame:
     return usage.unknown_apps(i.sightings(), i.view("fx_known_apps"))
@@ -82,10 +113,12 @@ def unknown_apps_large_list(i: Inputs) -> DataFrame:
 
 @query
 def union_of_countries(i: Inputs) -> DataFrame:
-    """Separate inputs per country, appended: the same as one grouped scan."""
+    """Separate inputs per country, each read from its own folders, appended."""
     known = i.view("fx_known_apps")
+    small = joins.fits_broadcast(usage.categorised(known).select("bundle"))
+    root = _laid_out(i)
     parts = [
-        usage.unknown_apps(usage.in_period(i.sightings(), *WHOLE_PERIOD, [country]), known)
+        usage.unknown_apps(files.read_sightings(i.spark, root, *WHOLE_PERIOD, [country]), known, small=small)
         for country in fixed.COUNTRIES
     ]
     whole = parts[0]
@@ -178,6 +211,26 @@ def batch_metadata(i: Inputs) -> DataFrame:
     return looked_up.select("bundle", "unique_ifa", "rn", "grp", "mapped_info.*")
 
 
+@query
+def batch_metadata_large_list(i: Inputs) -> DataFrame:
+    """The other way round, for a list of apps too long to broadcast."""
+    batches = batching.batched(_all_audiences(i))
+    looked_up = metadata.look_up(batches, i.view("fx_payload"), max_rows=0)
+    return looked_up.select("bundle", "unique_ifa", "rn", "grp", "mapped_info.*")
+
+
+@query
+def batch_append(i: Inputs) -> DataFrame:
+    """Results looked up and appended by batch, read back, resumed, and appended again."""
+    path = scratch_path(i.spark, "results")
+    listed = _all_audiences(i)
+    for todo in (listed.where(platform("bundle") == "IOS"), listed):
+        pending = batching.pending(todo, files.read_results_so_far(i.spark, path))
+        found = metadata.look_up(batching.batched(pending, 50), i.view("fx_payload"))
+        sinks.append_batches(found, path)
+    return files.read_results_so_far(i.spark, path).select("bundle", "unique_ifa", "mapped_info.*")
+
+
 @query
 def page_titles(i: Inputs) -> DataFrame:
     page = html.visible(F.col("html"))
@@ -380,7 +433,7 @@ def reporting_month(i: Inputs) -> DataFrame:
 @query
 def csv_roundtrip(i: Inputs) -> DataFrame:
     path = scratch_path(i.spark, "csv")
-    sinks.write_csv(unknown_apps(i).select("bundle", "unique_ifa"), path, single_file=True)
+    sinks.write_csv(unknown_apps(i).select("bundle", "unique_ifa"), path)
     return files.read_csv(i.spark, path, schemas.UNKNOWN_APPS)
 
 
@@ -437,8 +490,7 @@ def sightings_by_country(i: Inputs) -> DataFrame:
 def versioned_overwrite(i: Inputs) -> DataFrame:
     """The master list replaced by a version computed from itself."""
     path = scratch_path(i.spark, "master")
-    table = "bundlescope_master"
-    tables.drop_table(i.spark, table)
+    table = f"bundlescope_master_{uuid.uuid4().hex}"
     tables.publish_version(i.view("fx_old_list"), table, path, "1")
     old = i.spark.table(table)
     tables.publish_version(merging.clean_master_list(old, i.view("fx_new_list")), table, path, "2")
@@ -449,7 +501,8 @@ def versioned_overwrite(i: Inputs) -> DataFrame:
 def publish_table(i: Inputs) -> DataFrame:
     """Drop, create and publish the persona table, then the view over it."""
     path = scratch_path(i.spark, "personas")
-    table, view = "bundlescope_personas", "bundlescope_persona_view"
+    run = uuid.uuid4().hex
+    table, view = f"bundlescope_personas_{run}", f"bundlescope_persona_view_{run}"
     tables.drop_view(i.spark, view)
     tables.drop_table(i.spark, table)
     tables.publish_persona_table(i.view("fx_persona_list"), table, path, "1")

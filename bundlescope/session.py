@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -41,10 +43,13 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_DIR, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
     fallback = os.path.join(tempfile.gettempdir(), "bundlescope", spark.sparkContext.applicationId)
-    os.makedirs(fallback, exist_ok=True)
+    if not os.path.isdir(fallback):
+        os.makedirs(fallback)
+        atexit.register(shutil.rmtree, fallback, ignore_errors=True)
     return fallback
 
 

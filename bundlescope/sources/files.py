@@ -14,6 +14,7 @@ from bundlescope.fixed_values import COUNTRIES
 from bundlescope.functions.dates import partition_days
 from bundlescope.operators.merging import trim_column_names
 from bundlescope.operators.usage import in_period
+from bundlescope.sources.sinks import CSV_TEXT
 
 
 def read_sightings(
@@ -63,8 +64,11 @@ def read_master_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header. Empty text reads back as NULL."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """CSV with a header. Empty text reads back as NULL, text may hold line breaks.
+
+    A file is then read by one task; a list is written as many files.
+    """
+    return spark.read.schema(schema).options(**CSV_TEXT, multiLine=True).csv(path)
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -44,9 +44,12 @@ def publish_version(df: DataFrame, table: str, root: str, version: str) -> str:
 
     Never the folder that is being read, so the new list may be computed from the
     table itself; readers see the old version or the new one. A version that
-    exists already is an error: repeat a failed write under another name.
+    exists already is an error: repeat a failed write under another name. So are
+    columns that are not the table's: they would read as NULL from then on.
     """
     spark = df.sparkSession
+    if spark.catalog.tableExists(_name(table)) and df.dtypes != spark.table(table).dtypes:
+        raise ValueError(f"columns differ from those of {table}: {df.dtypes}")
     location = f"{root.rstrip('/')}/version={version}"
     df.write.mode("errorifexists").parquet(location)
     if spark.catalog.tableExists(_name(table)):

@@ -55,13 +55,13 @@ def test_plain_folders(spark, sightings, tmp_path):
 
 
 def test_csv_blank_text_comes_back_as_null(spark, tmp_path):
-    df = spark.createDataFrame([("a", ""), ("b,\"c\"", "x")], schemas.KNOWN_APPS)
+    odd = ' two\nlines, "quoted" \\ '
+    df = spark.createDataFrame([("a", ""), ("b,\"c\"", "x"), ("c", odd), (" d\\", '"')], schemas.KNOWN_APPS)
     path = str(tmp_path / "csv")
-    sinks.write_csv(df.repartition(2), path, single_file=True)
-    sinks.write_csv(df.repartition(2), path, single_file=True)
-    assert len(list((tmp_path / "csv").glob("part-*"))) == 1
+    sinks.write_csv(df.repartition(2), path)
+    sinks.write_csv(df.repartition(2), path)
     got = sorted(tuple(r) for r in files.read_csv(spark, path, schemas.KNOWN_APPS).collect())
-    assert got == [("a", None), ("b,\"c\"", "x")]
+    assert got == [(" d\\", '"'), ("a", None), ("b,\"c\"", "x"), ("c", odd)]
 
 
 def test_results_before_the_first_run_are_empty(spark, tmp_path):
@@ -81,6 +81,13 @@ def test_appending_and_replacing_batches(spark, tmp_path):
     assert spark.read.json(replaced).count() == 3
 
 
+def test_appended_batches_make_few_files(spark, tmp_path):
+    df = spark.range(20_000).selectExpr("cast(id as string) AS bundle", "id % 40 AS grp").repartition(40)
+    sinks.append_batches(df, str(tmp_path / "batches"))
+    assert len(list((tmp_path / "batches").glob("grp=*/part-*"))) <= 80
+    assert spark.read.json(str(tmp_path / "batches")).count() == 20_000
+
+
 def test_known_and_master_lists(spark, tmp_path):
     known = spark.createDataFrame([("a", "Games")], schemas.KNOWN_APPS)
     sinks.write_parquet(known, str(tmp_path / "known"))
@@ -101,6 +108,9 @@ def test_versions_replace_each_other_and_the_old_files_stay(spark, tmp_path):
     assert [tuple(r) for r in spark.read.parquet(place).collect()] == [("a", "1")]
     with pytest.raises(AnalysisException):
         tables.publish_version(first, table, str(tmp_path), "2")
+    with pytest.raises(ValueError, match="columns differ"):
+        tables.publish_version(first.withColumnRenamed("category", "kind"), table, str(tmp_path), "3")
+    assert not (tmp_path / "version=3").exists()
     tables.drop_table(spark, table)
     tables.drop_table(spark, table)
     assert not spark.catalog.tableExists(table)

@@ -50,7 +50,7 @@ def test_two_months(spark, tmp_path, catalog):
         sinks.write_csv(df, place[name])
 
     for month in (1, 2):
-        jobs.list_unknown_apps(spark, place["seen"], MASTER, place["unknown"], *DAYS, single_file=True)
+        jobs.list_unknown_apps(spark, place["seen"], MASTER, place["unknown"], *DAYS)
         listed = files.read_csv(spark, place["unknown"], schemas.UNKNOWN_APPS).collect()
         unknown = {r["bundle"]: r["unique_ifa"] for r in listed}
         # In the second month the apps found in the first one are known.

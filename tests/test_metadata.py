@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from bundlescope import schemas
@@ -121,6 +123,37 @@ def test_long_page_is_read_to_its_end(spark):
     assert one(spark, "com.x", page=page)[1] == "end"
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<a title="5" tall" href="/c/G" itemprop="genre">' + '<div class="x">' * 60_000,
+        "<a " + " ".join(f'a{n}="v{n}"' for n in range(20_000)) + ' itemprop="genre" href="/c/G">x</a>',
+        '<a href="/c/G" itemprop=genre>x</a>' + "<script>" * 120_000,
+        '<a href=/c/G itemprop=genre>x</a>' + "<!--" * 250_000,
+        "<a href='/c/G' itemprop = 'genre'>x</a>" + "<a " * 300_000,
+    ],
+)
+def test_odd_pages_take_linear_time(spark, page):
+    frame = spark.createDataFrame([("com.x", None, page, None)], schemas.PAYLOADS)
+    rows = metadata.store_metadata(frame)
+    started = time.perf_counter()
+    assert rows.first()["mapped_info"]["app_cat"] == "G"
+    assert time.perf_counter() - started < 20
+
+
+def test_character_references(spark):
+    df = spark.createDataFrame([("&#8211; &eacute; &amp;lt; &lt; &#x1F600; &nope; &#0; &#55296; &",)], "t string")
+    got = df.select(html.decode(F.col("t"))).first()[0]
+    assert got == "\u2013 \u00e9 &lt; < \U0001f600 &nope; &#0; &#55296; &"
+
+
+def test_payloads_not_asked_for_are_not_parsed(spark):
+    apps = spark.createDataFrame([("com.x", 5)], schemas.UNKNOWN_APPS)
+    payloads = spark.createDataFrame([("com.x", None, "<p>", None), ("com.y", None, "<p>", None)], schemas.PAYLOADS)
+    for max_rows in (0, 10):
+        assert [r.bundle for r in metadata.asked_for(payloads, apps, max_rows).collect()] == ["com.x"]
+
+
 def test_attributes(spark):
     df = spark.createDataFrame([("<a data-href='no' HREF = \"a&amp;b\" x>", )], "t string")
     got = df.select(
