@@ -1,0 +1,92 @@
+import collections
+import re
+
+import duckdb
+
+import __spark_entry__ as driver
+import corpus_pipeline
+from bundlescope.llm.tokens import library_path
+from tokenizers import Tokenizer
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def words_of(text):
+    return re.findall("[^\x20\x09-\x0d]+", text or "")
+
+
+def plain_quality(docs):
+    """Documents by their own rules; no host of these tables is bad as a whole."""
+    out = {}
+    for doc, text in docs.items():
+        words = words_of(text)
+        windows = collections.Counter(tuple(words[k : k + 8]) for k in range(len(words) - 7))
+        covered = {k + j for k in range(len(words) - 7) if windows[tuple(words[k : k + 8])] > 1 for j in range(8)}
+        if len(words) >= 20 and 100 * len(covered) <= 30 * len(words):
+            out[doc] = text
+    return out
+
+
+def plain_lines(docs):
+    lower = lambda s: re.sub("[A-Z]", lambda m: m[0].lower(), s.strip(" \t\n\x0b\x0c\r"))
+    held = collections.defaultdict(set)
+    for doc, text in docs.items():
+        for line in text.split("\n"):
+            held[lower(line)].add(doc)
+    common = {k: max(v) for k, v in held.items() if len(k) >= 20 and len(v) >= 3}
+    return {
+        doc: "\n".join(x for x in text.split("\n") if common.get(lower(x), doc) == doc)
+        for doc, text in docs.items()
+    }
+
+
+def plain_near(docs):
+    sets = {}
+    for doc, text in docs.items():
+        words = words_of(re.sub("[A-Z]", lambda m: m[0].lower(), text))
+        sets[doc] = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+    common, holders, root = collections.Counter(), collections.defaultdict(list), {d: d for d in docs}
+
+    def top(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    for doc in sorted(sets):
+        for shingle in sets[doc]:
+            common.update((other, doc) for other in holders[shingle])
+            holders[shingle].append(doc)
+    for (a, b), n in common.items():
+        if 100 * n >= 80 * (len(sets[a]) + len(sets[b]) - n):
+            low, high = sorted((top(a), top(b)))
+            root[high] = low
+    return {d: t for d, t in docs.items() if top(d) == d}
+
+
+def plain_leaks(docs, items):
+    norm = lambda t: " ".join(w for w in (x.strip(".,;:!?*#$%&|<>") for x in words_of(t.lower())) if w)
+    wanted = [f" {norm(t)} " for t in items]
+    return {d: t for d, t in docs.items() if not any(w in f" {norm(t)} " for w in wanted)}
+
+
+def test_against_plain_stages(spark):
+    docs = dict(duckdb.sql(f"SELECT doc_id, text FROM '{FOLDER}/documents.parquet'").fetchall())
+    items = [t for (t,) in duckdb.sql(f"SELECT text FROM '{FOLDER}/benchmark.parquet'").fetchall()]
+    want = plain_leaks(plain_near(plain_lines(plain_quality(docs))), items)
+    rows = driver.queries()["pipeline"](spark, FOLDER).collect()
+    tokenizer = Tokenizer.from_file(library_path("word_bpe_49k.json"))
+    lengths = {d: len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for d, t in want.items()}
+    got = collections.Counter()
+    bins = collections.Counter()
+    for r in rows:
+        got[r.doc_id] += r.length
+        bins[r.sequence_id] += r.length
+    assert got == lengths
+    assert max(bins.values()) <= 2048 and len(bins) <= -(-sum(bins.values()) // 2048) + 1
+
+
+def test_stages_keep_the_columns(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, FOLDER).dtypes == docs.dtypes
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).collect() == []
