@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as driver
+from bundlescope.plans import registry
 from bundlescope import schemas
 from bundlescope.operators import batching, joins, metadata, usage
 
@@ -28,40 +28,40 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(driver.queries()) - {"monthly_refresh_view"}))
+@pytest.mark.parametrize("name", sorted(set(registry.registered()) - {"monthly_refresh_view"}))
 def test_no_python_no_cross_join_no_single_task_sort(spark, name):
-    text = plan(driver.queries()[name](spark, FOLDER))
+    text = plan(registry.registered()[name](spark, FOLDER))
     for unwanted in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin", "Window"):
         assert unwanted not in text
 
 
 def test_known_apps_go_before_the_shuffle_when_the_list_is_small(spark, large_tables):
-    text = plan(driver.queries()["unknown_apps"](spark, FOLDER))
+    text = plan(registry.registered()["unknown_apps"](spark, FOLDER))
     first_shuffle = text.index("Exchange hashpartitioning(country")
     assert "BroadcastHashJoin" in text and text.index("LeftAnti") > first_shuffle
 
 
 def test_known_apps_go_after_counting_when_the_list_is_large(spark, large_tables):
-    text = plan(driver.queries()["unknown_apps_large_list"](spark, FOLDER))
+    text = plan(registry.registered()["unknown_apps_large_list"](spark, FOLDER))
     assert "SortMergeJoin" in text and "BroadcastExchange" not in text
     assert text.index("LeftAnti") < text.index("count(distinct")
 
 
 def test_counting_spreads_a_hot_app_by_device(spark):
-    text = plan(driver.queries()["unique_devices"](spark, FOLDER))
+    text = plan(registry.registered()["unique_devices"](spark, FOLDER))
     assert text.count("partial_count(distinct ifa") == 1
     spread = [line for line in text.split("\n") if "hashpartitioning(country" in line]
     assert any("ifa" in line for line in spread)
 
 
 def test_a_large_reference_is_joined_by_key_and_salt(spark, large_tables):
-    text = plan(driver.queries()["segment_join_large_reference"](spark, FOLDER))
+    text = plan(registry.registered()["segment_join_large_reference"](spark, FOLDER))
     join = next(line for line in text.split("\n") if "SortMergeJoin [app_cat" in line)
     assert "_salt" in join and "_right_salt" in join
 
 
 def test_both_uses_of_the_distinct_rows_share_a_shuffle(spark, large_tables):
-    df = driver.queries()["segmented_list"](spark, FOLDER)
+    df = registry.registered()["segmented_list"](spark, FOLDER)
     df.collect()
     assert "ReusedExchange" in plan(df)
 
