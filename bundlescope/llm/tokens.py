@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from bundlescope.llm.arrow import list_bounds, ragged
 
 #: Distinct chunks whose ids a worker keeps; then it starts over.
-CACHED_CHUNKS = 600_000
+CACHED_CHUNKS = 300_000
 
 
 def _parts(chunk: str) -> tuple[str, ...]:
