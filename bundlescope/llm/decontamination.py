@@ -47,20 +47,23 @@ _OUTER = ".,;:!?\"'()[]{}*#$%&|<>-_"
 
 
 def located(texts: pa.Array, known: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The terms of known words, their places among the words of their text, and the texts' bounds.
+    """The terms of known words, their places among the words of their text, and the texts' bounds."""
+    return located_and_counted(texts, known)[:3]
 
-    Words of punctuation alone are no words.
-    """
+
+def located_and_counted(texts: pa.Array, known: dict[str, int]) -> tuple[np.ndarray, ...]:
+    """The same, and each text's number of words. Words of punctuation alone are no words."""
     flat, bounds = words_of(texts)
     if len(flat) == 0:
-        return np.zeros(0, np.int32), np.zeros(0, np.int32), bounds
+        return np.zeros(0, np.int32), np.zeros(0, np.int32), bounds, np.diff(bounds)
     coded = flat.dictionary_encode()
     plain = pc.utf8_trim(pc.utf8_lower(coded.dictionary), _OUTER).to_pylist()
     terms = np.array([known.get(w, -1) if w else -2 for w in plain], np.int32)[coded.indices.to_numpy()]
     real = np.concatenate([[0], np.cumsum(terms != -2)])
     hits = np.flatnonzero(terms >= 0)
     text = np.searchsorted(bounds, hits, side="right") - 1
-    return terms[hits], (real[hits] - real[bounds[text]]).astype(np.int32), np.searchsorted(hits, bounds)
+    places = (real[hits] - real[bounds[text]]).astype(np.int32)
+    return terms[hits], places, np.searchsorted(hits, bounds), np.diff(real[bounds])
 
 
 class Passages:
@@ -221,14 +224,13 @@ def _located_rows(docs: DataFrame, known: dict[str, int]) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_slices(batches, "text"):
-            terms, places, bounds = located(texts, shared.value)
+            terms, places, bounds, words = located_and_counted(texts, shared.value)
             offsets = pa.array(bounds.astype(np.int32))
-            _, words = words_of(texts)
             yield table(
                 arrow,
                 [
                     batch.column("doc_id"),
-                    np.diff(words),
+                    words,
                     pa.ListArray.from_arrays(offsets, pa.array(terms)),
                     pa.ListArray.from_arrays(offsets, pa.array(places)),
                 ],
