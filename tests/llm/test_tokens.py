@@ -127,3 +127,30 @@ def test_plan_finds_the_fullest_combination():
         for n, c in pattern.items():
             total[n] += times * c
     assert total == {6: 2, 5: 1, 4: 3, 3: 2}
+
+
+def test_chunks_that_share_half_a_hash_are_told_apart(monkeypatch):
+    known = Encoder(library_path("word_bpe_49k.json"))
+    hashes = Encoder._hashes
+
+    def same_first_half(self, chunks):
+        found = hashes(self, chunks).copy()
+        if self.seed == 0:
+            found[:, 0] = 7
+        return found
+
+    monkeypatch.setattr(Encoder, "_hashes", same_first_half)
+    texts = ["some words, more", "words and Wörter"]
+    ids, bounds = known.encode(pa.array(texts, pa.large_string()))
+    assert known.seed == 1
+    for k, text in enumerate(texts):
+        assert ids[bounds[k] : bounds[k + 1]].tolist() == known.library.encode(text, add_special_tokens=False).ids
+
+
+def test_words_that_are_parted_or_marked_in_odd_ways_get_the_same_ids():
+    known = Encoder(library_path("word_bpe_49k.json"), cached=40)
+    texts = ["İİ Straße ǅ ﬁn x² don't ''s it's### l'été--", "a_b foo'll'' ª º éa ́x ()", "", "word" * 3000 + " 's"]
+    for _ in range(3):
+        ids, bounds = known.encode(pa.array(texts, pa.large_string()))
+        for k, text in enumerate(texts):
+            assert ids[bounds[k] : bounds[k + 1]].tolist() == known.library.encode(text, add_special_tokens=False).ids
