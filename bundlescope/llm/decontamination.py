@@ -106,15 +106,16 @@ def sketch_sums(found: Passages, omega: np.ndarray) -> np.ndarray:
     out = np.zeros(omega.shape, np.float32)
     if not len(found.heads):
         return out
+    weights = np.zeros(len(omega), np.float32)
+    weights[found.terms] = found.weights
     lengths = np.diff(np.append(found.heads, len(found.terms)))
-    projected = np.add.reduceat(found.weights[:, None] * omega[found.terms], found.heads, axis=0)
-    norms = np.add.reduceat(found.weights**2, found.heads)
-    rows = np.repeat(projected / norms[:, None], lengths, axis=0) * found.weights[:, None]
+    projected = np.add.reduceat((weights[:, None] * omega)[found.terms], found.heads, axis=0)
+    projected /= np.add.reduceat(found.weights**2, found.heads)[:, None]
     order = np.argsort(found.terms, kind="stable")
-    ordered = found.terms[order]
+    ordered, segment = found.terms[order], np.repeat(np.arange(len(lengths)), lengths)[order]
     edges = np.flatnonzero(np.diff(ordered, prepend=-1))
-    out[ordered[edges]] = np.add.reduceat(rows[order], edges, axis=0)
-    return out
+    out[ordered[edges]] = np.add.reduceat(projected[segment], edges, axis=0)
+    return weights[:, None] * out
 
 
 def random_matrix(size: int) -> np.ndarray:
@@ -187,10 +188,11 @@ def candidates(found: Passages, space: np.ndarray, bench: Benchmark) -> Iterator
     for first in range(0, len(vectors), 4096):
         part = slice(first, first + 4096)
         dots = vectors[part] @ bench.vectors.T
+        some = np.flatnonzero(dots.max(axis=1, initial=-1) >= MIN_COSINE * norms[part])
         # As near in direction, and as much of the item's passage in it as two like ones have.
-        near = (dots >= MIN_COSINE * norms[part, None]) & (dots >= MIN_COSINE * bench.norms[None, :])
+        near = dots[some] >= MIN_COSINE * np.maximum(norms[first + some, None], bench.norms[None, :])
         for passage, query in np.argwhere(near).tolist():
-            at = first + passage
+            at = first + int(some[passage])
             begin = int(start[at]) - int(bench.starts[query])
             key = (int(text[at]), int(bench.owner[query]), begin)
             if key not in looked:
