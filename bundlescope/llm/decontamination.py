@@ -41,7 +41,7 @@ MIN_COSINE = 0.6
 MIN_LCS = 0.6
 MIN_LCS_ANSWERED = 0.5
 ANSWER_WORDS = 5
-MAX_TERMS = 100_000
+MAX_TERMS = 16_000
 MAX_ITEM_WORDS = 1_000_000
 _OUTER = ".,;:!?\"'()[]{}*#$%&|<>-_"
 
