@@ -4,6 +4,7 @@ import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 
 import __spark_entry__ as driver
 from bundlescope.llm import near_dups
@@ -82,6 +83,21 @@ def test_copies_of_copies(spark):
     assert {r.doc_id for r in kept.collect()} == want
 
 
+def test_unlucky_estimates_are_confirmed(spark):
+    """Pairs at exactly 0.85 whose estimates are four to six standard errors below it."""
+    error = (0.85 * 0.15 / near_dups.REGISTERS) ** 0.5
+    rows = []
+    for seed in (36561, 43851):
+        rng = random.Random(seed)
+        text = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(22)]
+        pair = [" ".join(text[:19]), " ".join(text)]
+        a, b = map(near_dups.registers, near_dups.shingle_sets(pa.array(pair, pa.large_string()), 3))
+        assert 4 * error < 0.85 - near_dups.estimated((a == b).mean()) < 6 * error
+        rows += enumerate(pair, len(rows))
+    got = near_dups.near_duplicate_components(spark.createDataFrame(rows, "doc_id bigint, text string"), 3, 85)
+    assert compared(got) == [(0, 17, 0, True), (1, 20, 0, False), (2, 17, 2, True), (3, 20, 2, False)]
+
+
 def test_odd_rows(spark):
     shape = "doc_id bigint, text string"
     assert near_dups.near_duplicate_components(spark.createDataFrame([], shape)).collect() == []
