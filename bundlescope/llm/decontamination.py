@@ -10,7 +10,8 @@ segments of 16 words. The latent space is the range of a randomised SVD of all w
 passages: the sum of A'A times a random matrix, orthonormalised. What each task adds up
 has the size of the benchmark's vocabulary, and the sums are added by
 blocks of terms. Cosines do not depend on the directions of the axes in the space, so no further rotation is
-made. Every passage is compared with all benchmark passages in it. Around each
+made. Every passage is compared with all benchmark passages in it, and is a candidate
+for those at a cosine of ``MIN_COSINE``, whatever the lengths of the vectors. Around each
 candidate the longest common subsequence of words with the whole item is found,
 and whether the item's answer, its last words, is there. A document leaks an item
 at ``MIN_LCS`` of the item's words, or at ``MIN_LCS_ANSWERED`` with the whole answer.
@@ -37,7 +38,7 @@ from bundlescope.llm.arrow import list_bounds, stored, table, text_slices, words
 RANK = 96
 STEP = 16
 BLOCK = 1024
-MIN_COSINE = 0.6
+MIN_COSINE = 0.4
 MIN_LCS = 0.6
 MIN_LCS_ANSWERED = 0.5
 ANSWER_WORDS = 5
@@ -156,6 +157,7 @@ class Benchmark:
             for k, w in enumerate(words):
                 bits[w] |= 1 << k
             self.bits.append(dict(bits))
+        self.counts = [{w: places.bit_count() for w, places in bits.items()} for bits in self.bits]
 
     def passages(self, weights: np.ndarray) -> Passages:
         return Passages(self.terms, self.places, self.bounds, weights)
@@ -163,11 +165,14 @@ class Benchmark:
     def place(self, space: np.ndarray, weights: np.ndarray) -> None:
         vectors, self.owner, self.starts = self.passages(weights).vectors(space)
         self.vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
-        self.norms = np.linalg.norm(vectors, axis=1)
 
     def verified(self, item: int, terms: np.ndarray, places: np.ndarray) -> tuple[float, bool, bool]:
         """Share of the item's words in common order, whether the answer is there, and the verdict."""
-        words, region = self.words[item], terms.tolist()
+        words, region, counts = self.words[item], terms.tolist(), self.counts[item]
+        # No common subsequence has more words than the item has of those in the region.
+        most = sum(map(counts.__getitem__, counts.keys() & set(region)))
+        if most / len(words) < MIN_LCS_ANSWERED:
+            return most / len(words), False, False
         share = common_subsequence(self.bits[item], len(words), region) / len(words)
         if share < MIN_LCS_ANSWERED:
             return share, False, False
@@ -180,24 +185,19 @@ class Benchmark:
         return share, answered, share >= MIN_LCS or answered
 
 
-def candidates(found: Passages, space: np.ndarray, bench: Benchmark) -> Iterator[tuple[int, int, int]]:
-    """(text, item, place where the item would begin), each at most once per STEP words."""
+def candidates(found: Passages, space: np.ndarray, bench: Benchmark) -> np.ndarray:
+    """Distinct rows of text, item and the place where the item would begin."""
     vectors, text, start = found.vectors(space)
     norms = np.maximum(np.linalg.norm(vectors, axis=1), 1e-12)
-    looked = set()
+    rows = [np.zeros((0, 3), np.int64)]
     for first in range(0, len(vectors), 4096):
         part = slice(first, first + 4096)
         dots = vectors[part] @ bench.vectors.T
         some = np.flatnonzero(dots.max(axis=1, initial=-1) >= MIN_COSINE * norms[part])
-        # As near in direction, and as much of the item's passage in it as two like ones have.
-        near = dots[some] >= MIN_COSINE * np.maximum(norms[first + some, None], bench.norms[None, :])
-        for passage, query in np.argwhere(near).tolist():
-            at = first + int(some[passage])
-            begin = int(start[at]) - int(bench.starts[query])
-            key = (int(text[at]), int(bench.owner[query]), begin)
-            if key not in looked:
-                looked.add(key)
-                yield key
+        passage, query = np.nonzero(dots[some] >= MIN_COSINE * norms[first + some, None])
+        at = first + some[passage]
+        rows.append(np.stack([text[at], bench.owner[query], start[at] - bench.starts[query]], axis=1))
+    return np.unique(np.concatenate(rows), axis=0)
 
 
 def leaks_in(
@@ -205,14 +205,17 @@ def leaks_in(
 ) -> list[tuple[int, int, float, bool]]:
     """(text, item, share, answered) of every item that a text leaks, the best place of each."""
     best: dict[tuple[int, int], tuple[float, bool]] = {}
-    for text, item, begin in candidates(Passages(terms, places, bounds, weights), space, bench):
-        length, low, high = len(bench.words[item]), bounds[text], bounds[text + 1]
-        slack = STEP + length // 4
-        own = places[low:high]
-        a, b = low + np.searchsorted(own, [begin - slack, begin + length + slack])
-        share, answered, leaked = bench.verified(item, terms[a:b], places[a:b])
+    found = candidates(Passages(terms, places, bounds, weights), space, bench)
+    text, item, begin = found.T
+    lengths = np.array([len(w) for w in bench.words], np.int64)[item]
+    slack = STEP + lengths // 4
+    located = np.repeat(np.arange(len(bounds) - 1, dtype=np.int64), np.diff(bounds)) << 32 | places
+    low = np.searchsorted(located, text << 32 | np.maximum(begin - slack, 0))
+    high = np.searchsorted(located, text << 32 | begin + lengths + slack)
+    for t, i, a, b in zip(text.tolist(), item.tolist(), low.tolist(), high.tolist()):
+        share, answered, leaked = bench.verified(i, terms[a:b], places[a:b])
         if leaked:
-            best[text, item] = max(best.get((text, item), (0.0, False)), (share, answered))
+            best[t, i] = max(best.get((t, i), (0.0, False)), (share, answered))
     return [(t, i, *found) for (t, i), found in sorted(best.items())]
 
 

@@ -71,6 +71,34 @@ def test_finds_paraphrases(spark):
     assert set(got) <= planted and len(got) >= 0.9 * len(planted)
 
 
+def test_finds_replaced_words_in_real_documents(spark):
+    """By the number of words left in order each copy is a leak."""
+    rng = random.Random(9)
+    docs, items = (
+        duckdb.sql(f"SELECT {c}, text FROM '{FOLDER}/{n}.parquet' ORDER BY ALL").fetchall()
+        for c, n in (("doc_id", "documents"), ("item_id", "benchmark"))
+    )
+    texts = {doc: (text or "").split() for doc, text in docs}
+    hosts = rng.sample([doc for doc, words in texts.items() if len(words) > 100], 320)
+    other = [w for doc in hosts for w in texts[doc]]
+    planted = collections.defaultdict(set)
+    for n, doc in enumerate(hosts):
+        item, text = rng.choice([i for i in items if len(i[1].split()) >= 16])
+        share, copy = (0.1, 0.2, 0.3, 0.4)[n % 4], text.split()
+        for k in rng.sample(range(len(copy)), int(share * len(copy))):
+            copy[k] = rng.choice(other)
+        at = rng.randrange(len(texts[doc]))
+        texts[doc][at:at] = copy
+        planted[share].add((doc, item))
+    found = d.leaks(
+        spark.createDataFrame([(doc, " ".join(words)) for doc, words in texts.items()], "doc_id bigint, text string"),
+        spark.createDataFrame(items, "item_id bigint, text string"),
+    )
+    got = {(r.doc_id, r.item_id) for r in found.collect()}
+    recall = {share: len(want & got) / len(want) for share, want in planted.items()}
+    assert min(recall[share] for share in (0.1, 0.2, 0.3)) >= 0.95 and recall[0.4] >= 0.85, recall
+
+
 def test_odd_rows(spark):
     docs, items, _ = made(91)
     shape = "doc_id bigint, text string"
