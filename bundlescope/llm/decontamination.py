@@ -18,7 +18,8 @@ at ``MIN_LCS`` of the item's words, or at ``MIN_LCS_ANSWERED`` with the whole an
 
 The benchmark must fit in memory: more than ``MAX_ITEM_WORDS`` words are refused.
 Nulls: a null text is empty and neither leaks nor is leaked; rows without
-document id keep null in the result. Repeated rows give one row per item. Empty
+document id keep null in the result, and ``without_leaks`` judges each of them by its
+own text. Repeated rows give one row per item. Empty
 tables give no rows. Other columns are not looked at, and stay in ``without_leaks``.
 """
 
@@ -30,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bundlescope.llm.arrow import list_bounds, stored, table, text_slices, words_of
@@ -219,12 +220,19 @@ def leaks_in(
     return [(t, i, *found) for (t, i), found in sorted(best.items())]
 
 
-_LOCATED = "doc_id bigint, n_words bigint, terms array<int>, places array<int>"
+_LOCATED = "doc_id bigint, text_key binary, n_words bigint, terms array<int>, places array<int>"
+
+
+def _text_key() -> Column:
+    """What tells rows without document id apart: their text."""
+    return F.when(F.col("doc_id").isNull(), F.unhex(F.sha2(F.col("text").cast("string").cast("binary"), 256)))
 
 
 def _located_rows(docs: DataFrame, known: dict[str, int]) -> DataFrame:
     lists = pa.list_(pa.int32())
-    arrow = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("terms", lists), ("places", lists)])
+    arrow = pa.schema(
+        [("doc_id", pa.int64()), ("text_key", pa.binary()), ("n_words", pa.int64()), ("terms", lists), ("places", lists)]
+    )
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,13 +243,16 @@ def _located_rows(docs: DataFrame, known: dict[str, int]) -> DataFrame:
                 arrow,
                 [
                     batch.column("doc_id"),
+                    batch.column("text_key"),
                     words,
                     pa.ListArray.from_arrays(offsets, pa.array(terms)),
                     pa.ListArray.from_arrays(offsets, pa.array(places)),
                 ],
             )
 
-    chosen = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string"))
+    chosen = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), _text_key().alias("text_key"), F.col("text").cast("string")
+    )
     return chosen.mapInArrow(rows, _LOCATED)
 
 
@@ -297,6 +308,13 @@ def summed(rows: DataFrame, size: int, width: int, kind: str, measure) -> np.nda
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, lcs and answered, a row per document and item it leaks."""
+    best = F.max(F.struct("lcs", "answered")).alias("best")
+    found = _leaking_texts(docs, benchmark).groupBy("doc_id", "item_id").agg(best)
+    return found.select("doc_id", "item_id", "best.lcs", "best.answered")
+
+
+def _leaking_texts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, text_key (of rows without document id), item_id, lcs and answered."""
     items = benchmark.where(F.col("text").isNotNull() & (F.col("text") != "")).select("item_id", "text").distinct()
     words = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
     if words > MAX_ITEM_WORDS:
@@ -312,7 +330,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     space = latent_space(sketch + sketch_sums(bench.passages(weights), omega), weights)
     bench.place(space, weights)
     shared = docs.sparkSession.sparkContext.broadcast((weights, space, bench))
-    arrow = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("lcs", pa.float64()), ("answered", pa.bool_())])
+    arrow = pa.schema(
+        [
+            ("doc_id", pa.int64()),
+            ("text_key", pa.binary()),
+            ("item_id", pa.int64()),
+            ("lcs", pa.float64()),
+            ("answered", pa.bool_()),
+        ]
+    )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
@@ -321,18 +347,26 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             ids = shared.value[2].ids
             yield table(
                 arrow,
-                [batch.column("doc_id").take(at), [ids[f[1]] for f in found], [f[2] for f in found], [f[3] for f in found]],
+                [
+                    batch.column("doc_id").take(at),
+                    batch.column("text_key").take(at),
+                    [ids[f[1]] for f in found],
+                    [f[2] for f in found],
+                    [f[3] for f in found],
+                ],
             )
 
-    found = rows.mapInArrow(search, "doc_id bigint, item_id bigint, lcs double, answered boolean")
-    best = F.max(F.struct("lcs", "answered")).alias("best")
-    return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.lcs", "best.answered")
+    return rows.mapInArrow(search, "doc_id bigint, text_key binary, item_id bigint, lcs double, answered boolean")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that leak no item, with all their columns."""
-    found = leaks(docs, benchmark).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = _leaking_texts(docs, benchmark).select(F.col("doc_id").alias("_doc"), "text_key").distinct()
+    found = stored(found, "leaking")
+    kept = docs.join(found.where("_doc IS NOT NULL"), F.col("doc_id") == F.col("_doc"), "left_anti")
+    texts = found.where("_doc IS NULL").select(F.col("text_key").alias("_key"))
+    kept = kept.join(texts, _text_key() == F.col("_key"), "left_anti")
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

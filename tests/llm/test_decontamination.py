@@ -113,6 +113,15 @@ def test_odd_rows(spark):
     assert kept.columns == ["doc_id", "text", "item_id"] and {500, 501, 502, 503} <= {r.doc_id for r in kept.collect()}
 
 
+def test_rows_without_id_that_leak_are_removed(spark):
+    docs, items, _ = made(91)
+    leak, clean = items[0][1], docs[90][1]
+    rows = [*docs, (None, leak), (None, clean), (None, None), (None, ""), (None, clean)]
+    shape = "doc_id bigint, text string"
+    kept = d.without_leaks(spark.createDataFrame(rows, shape), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert sorted((r.text for r in kept.collect() if r.doc_id is None), key=str) == sorted([clean, clean, None, ""], key=str)
+
+
 def test_common_subsequence():
     rng = np.random.default_rng(2)
     for _ in range(200):
