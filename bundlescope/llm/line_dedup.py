@@ -8,6 +8,10 @@ of the others only the counts are added. The result is a new run, sorted by key,
 in the shared folder. A level with ``fanout`` runs is compacted to one run of the
 next level, so a key is rewritten once per level and not once per batch.
 
+What is dropped is decided by grouping the keys of all runs (``lines``). ``fresh``
+is only read by the next batch's join, and as runs are sorted within write partitions
+only, each batch and each compaction shuffles and sorts the earlier runs again.
+
 Nulls: a null text is one empty line; rows without a document id keep all their
 lines and count for no key. Rows that repeat a document id are one document.
 An empty table gives no rows. Other columns are not looked at.
