@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from bundlescope.llm.decontamination import op10_benchmark_decontamination
 from bundlescope.llm.licenses import OP9_SQL, op9_license_scan
 from bundlescope.llm.line_dedup import OP7_SQL, op7_line_dedup
+from bundlescope.llm.merkle import OP13_SQL, op13_merkle_manifest
 from bundlescope.llm.near_dups import op2_minhash_near_dedup
 from bundlescope.llm.packing import op3_best_fit_packing
 from bundlescope.llm.pii import op4_pii
@@ -30,8 +31,14 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_repeated_strings": op8_repeated_strings,
         "op9_license_scan": op9_license_scan,
         "op10_benchmark_decontamination": op10_benchmark_decontamination,
+        "op13_merkle_manifest": op13_merkle_manifest,
     }
 
 
 def statements() -> dict[str, str]:
-    return {"op6_quality_rules": OP6_SQL, "op7_line_dedup": OP7_SQL, "op9_license_scan": OP9_SQL}
+    return {
+        "op6_quality_rules": OP6_SQL,
+        "op7_line_dedup": OP7_SQL,
+        "op9_license_scan": OP9_SQL,
+        "op13_merkle_manifest": OP13_SQL,
+    }
