@@ -17,6 +17,8 @@ from bundlescope.llm.quality import OP6_SQL, op6_quality_rules
 from bundlescope.llm.repeats import op8_repeated_strings
 from bundlescope.llm.token_files import op1_token_files
 from bundlescope.llm.toxicity import op5_toxicity
+from bundlescope.llm.warc import OP12_SQL, op12_warc
+from bundlescope.llm.whitening import op11_embedding_whitening
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -31,6 +33,8 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_repeated_strings": op8_repeated_strings,
         "op9_license_scan": op9_license_scan,
         "op10_benchmark_decontamination": op10_benchmark_decontamination,
+        "op11_embedding_whitening": op11_embedding_whitening,
+        "op12_warc": op12_warc,
         "op13_merkle_manifest": op13_merkle_manifest,
     }
 
@@ -40,5 +44,6 @@ def statements() -> dict[str, str]:
         "op6_quality_rules": OP6_SQL,
         "op7_line_dedup": OP7_SQL,
         "op9_license_scan": OP9_SQL,
+        "op12_warc": OP12_SQL,
         "op13_merkle_manifest": OP13_SQL,
     }
