@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bundlescope.functions import bitmaps
+
 BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 HOT_ROWS = 500_000
+#: 64 MB of bits.
+FILTER_MAX_BITS = 1 << 29
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -26,12 +31,58 @@ def _row_bytes(df: DataFrame) -> Column:
     return sum(sizes[1:], sizes[0]).cast("bigint")
 
 
+@dataclass(frozen=True)
+class Size:
+    """Rows of a table and an upper estimate of their bytes."""
+
+    rows: int
+    bytes: int
+
+    def fits(self, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+        return self.rows <= max_rows and self.bytes <= max_bytes
+
+
+def _size_columns(df: DataFrame) -> list[Column]:
+    return [F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes")]
+
+
+def measured(df: DataFrame) -> Size:
+    """A table's size: one aggregate, one row to the driver."""
+    size = df.agg(*_size_columns(df)).first()
+    return Size(size["rows"], size["bytes"] or 0)
+
+
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
 ) -> bool:
-    """Measure a side before it is broadcast: one aggregate, one row to the driver."""
-    size = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("bytes")).first()
-    return size["n"] <= max_rows and (size["bytes"] or 0) <= max_bytes
+    """Measure a side before it is broadcast."""
+    return measured(df).fits(max_rows, max_bytes)
+
+
+def perhaps_listed(
+    rows: DataFrame, listed: DataFrame, key: str, listed_rows: int, max_bits: int = FILTER_MAX_BITS
+) -> DataFrame:
+    """The rows whose key is listed, and a few others, without shuffling any row.
+
+    A filter of one bit per key hash, 16 bits or more a key up to ``max_bits``, is broadcast:
+    its size is bounded, whatever the list's. No row of a listed key is lost; of the others
+    about one in sixteen passes, and more for a list beyond ``max_bits`` / 16 keys, so a join
+    that comes later has to decide. A NULL key is never listed.
+    """
+    bits = bitmaps.BITS
+    while bits < min(16 * listed_rows, max_bits):
+        bits *= 2
+
+    def number(column: Column) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(bits).cast("bigint")) + 1
+
+    hashed = listed.where(F.col(key).isNotNull()).select(number(F.col(key)).alias("_number"))
+    found = hashed.groupBy(bitmaps.bucket(F.col("_number")).alias("_bucket")).agg(
+        F.bitmap_construct_agg(bitmaps.position(F.col("_number"))).alias("_bits")
+    )
+    mine = number(rows[key])
+    joined = rows.join(F.broadcast(found), rows[key].isNotNull() & (bitmaps.bucket(mine) == found["_bucket"]))
+    return joined.where(bitmaps.has_bit(F.col("_bits"), bitmaps.position(mine))).select(*[rows[c] for c in rows.columns])
 
 
 def salted_left_join(

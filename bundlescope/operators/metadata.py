@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from bundlescope import fixed_values as fixed
 from bundlescope.functions import html
 from bundlescope.functions.text import capitalise, is_numeric_id
-from bundlescope.operators.joins import BROADCAST_MAX_ROWS, fits_broadcast
+from bundlescope.operators.joins import BROADCAST_MAX_ROWS, measured, perhaps_listed
 
 LOOKUP_SCHEMA = "resultCount BIGINT, results ARRAY<MAP<STRING,STRING>>"
 
@@ -135,18 +135,23 @@ def one_record_per_app(found: DataFrame) -> DataFrame:
 
 
 def asked_for(payloads: DataFrame, apps: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """The payloads of the listed apps."""
+    """The payloads of the listed apps; beyond ``max_rows`` apps a few others pass.
+
+    Page text is never shuffled: a list that measures small is broadcast, of a longer one
+    a filter of bounded size is.
+    """
     wanted = apps.select("bundle")
-    if fits_broadcast(wanted, max_rows):
+    size = measured(wanted)
+    if size.fits(max_rows):
         return payloads.join(F.broadcast(wanted), "bundle", "left_semi")
-    return payloads.join(wanted.distinct(), "bundle", "left_semi")
+    return perhaps_listed(payloads, wanted, "bundle", size.rows)
 
 
 def look_up(apps: DataFrame, payloads: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Attach ``mapped_info`` to batched apps; an app without payloads is Not Found.
 
-    Only payloads of listed apps are parsed, however long the list: a list that
-    measures small is broadcast, a longer one meets the payloads in a shuffle.
+    Payloads of other apps are left out before they are parsed, all of them or, with a
+    long list, all but a few, whose records meet no app. What is shuffled are records.
     """
     found = one_record_per_app(store_metadata(asked_for(payloads, apps, max_rows)))
     found = found.withColumnRenamed("bundle", "_bundle")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from bundlescope.functions.dates import period_label, update_label
@@ -108,3 +109,15 @@ def segmented_list(
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     """Number of distinct values of a column, NULL counted as one of them."""
     return df.select(column).distinct().agg(F.count(F.lit(1)).alias("distinct_values"))
+
+
+def with_distinct_values(df: DataFrame, column: str) -> tuple[DataFrame, Callable[[], int]]:
+    """The rows, and a function that gives the column's number of distinct values, NULL
+    counted as one, after an action on the rows has run to its end.
+
+    For columns of few values: they are gathered as a set beside the action, one per
+    task and then on the driver. ``distinct_values`` counts any number of them.
+    """
+    found = Observation()
+    values = F.size(F.collect_set(F.struct(column))).alias("distinct_values")
+    return df.observe(found, values), lambda: found.get["distinct_values"]

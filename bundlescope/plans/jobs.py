@@ -15,7 +15,8 @@ from pyspark.sql import SparkSession
 from bundlescope import schemas
 from bundlescope.fixed_values import BATCH_SIZE, COUNTRIES, MIN_DEVICES
 from bundlescope.operators import batching, merging, metadata, segmenting, usage
-from bundlescope.sources import files, sinks, tables
+from bundlescope.sources import files, sightings, sinks, tables
+from bundlescope.sources import results as bucketed
 
 
 def list_unknown_apps(
@@ -33,7 +34,7 @@ def list_unknown_apps(
     ``plain_folders`` reads ``<root><country>/<yyyyMMdd>`` instead of
     ``country=XX/date=yyyyMMdd``.
     """
-    read = files.read_sightings_by_path if plain_folders else files.read_sightings
+    read = sightings.read_sightings_by_path if plain_folders else sightings.read_sightings
     known = spark.table(master_table).select("bundle", "category")
     unknown = usage.unknown_apps(read(spark, sightings_root, start, end, countries), known)
     sinks.write_csv(unknown.select("bundle", "unique_ifa"), out)
@@ -46,14 +47,27 @@ def look_up_pending(
     results: str,
     min_devices: int = MIN_DEVICES,
     batch_size: int = BATCH_SIZE,
+    results_table: str | None = None,
+    buckets: int = bucketed.BUCKETS,
 ) -> None:
-    """Metadata of the listed apps that have none yet, appended to the results."""
+    """Metadata of the listed apps that have none yet, appended to the results.
+
+    The results are JSON in the folder ``results``. With ``results_table`` they are the
+    table of that name, bucketed by app, in that folder: earlier results are then not
+    shuffled again by each run.
+    """
     listed = files.read_csv(spark, unknown, schemas.UNKNOWN_APPS)
-    done = files.read_results_so_far(spark, results)
+    if results_table:
+        done = bucketed.results_table(spark, results_table)
+    else:
+        done = files.read_results_so_far(spark, results)
     todo = batching.pending(batching.audiences(listed, min_devices), done)
     batches = batching.batched(todo, batch_size)
     found = metadata.look_up(batches, files.read_json(spark, payloads, schemas.PAYLOADS))
-    sinks.append_batches(found, results)
+    if results_table:
+        bucketed.append_results(found, results_table, results, buckets)
+    else:
+        sinks.append_batches(found, results)
 
 
 def segment_apps(
@@ -65,22 +79,28 @@ def segment_apps(
     start: str,
     end: str,
     run_date: date,
+    results_table: str | None = None,
 ) -> int:
     """The segmented list as Parquet; returns how many segment groups it has.
 
-    Counted on the written list, so that the step is computed once.
+    Counted while the list is written, so that the step is computed once and nothing is
+    read back. ``results_table`` takes the results from that table and not from JSON.
     """
+    if results_table:
+        found = bucketed.results_table(spark, results_table)
+    else:
+        found = files.read_json(spark, results, schemas.METADATA_RESULT)
     segmented = segmenting.segmented_list(
-        files.read_json(spark, results, schemas.METADATA_RESULT),
+        found,
         files.read_csv(spark, ref_app, schemas.CATEGORY_REFERENCE),
         files.read_csv(spark, ref_persona, schemas.PERSONA_REFERENCE),
         start,
         end,
         run_date,
     )
-    sinks.write_parquet(segmented, out)
-    written = files.read_master_list(spark, out)
-    return segmenting.distinct_values(written, "segment_grp_1").first()["distinct_values"]
+    counted, groups = segmenting.with_distinct_values(segmented, "segment_grp_1")
+    sinks.write_parquet(counted, out)
+    return groups()
 
 
 def clean_list(

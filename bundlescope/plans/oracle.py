@@ -318,11 +318,15 @@ CROSS JOIN (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2002-12-31',
   INTERVAL 1 DAY)) AS day) d
 WHERE (c.country, strftime(d.day, '%Y%m%d')) NOT IN (SELECT (country, date) FROM fx_records)""",
     "unique_devices": "SELECT * FROM v_devices",
+    "unique_devices_by_day": "SELECT * FROM v_devices",
     "known_apps": "SELECT * FROM v_known",
     "known_apps_file": "SELECT * FROM v_known",
     "sightings_by_path": f"""
 SELECT * FROM fx_sightings
-WHERE date BETWEEN '20000228' AND '20000301' AND country IN ({_COUNTRIES})""",
+WHERE date BETWEEN '19950101' AND '20021231' AND country IN ({_COUNTRIES})""",
+    "sightings_from_table": f"""
+SELECT * FROM fx_sightings
+WHERE date BETWEEN '20000201' AND '20000229' AND country IN ({_COUNTRIES})""",
     "unknown_apps": "SELECT * FROM v_unknown",
     "unknown_apps_large_list": "SELECT * FROM v_unknown",
     "union_of_countries": "SELECT bundle, unique_ifa FROM v_unknown_selected",
@@ -332,6 +336,8 @@ WHERE date BETWEEN '20000228' AND '20000301' AND country IN ({_COUNTRIES})""",
 SELECT * FROM v_audience ORDER BY unique_ifa DESC, bundle ASC NULLS FIRST LIMIT 1""",
     "resume_pending": """
 SELECT * FROM v_audience a WHERE NOT EXISTS (SELECT 1 FROM fx_done d WHERE d.bundle = a.bundle)""",
+    "resume_pending_bucketed": """
+SELECT * FROM v_audience WHERE bundle IS NULL OR bundle NOT IN (SELECT bundle FROM fx_done)""",
     "batch_numbers": "SELECT * FROM v_batched",
     "batch_summary": """
 SELECT grp, count(*) AS apps, min(bundle) AS first_bundle, max(bundle) AS last_bundle,
@@ -393,6 +399,7 @@ WHERE segment_index IS NOT NULL GROUP BY 1 HAVING count(DISTINCT segment_index)
     "stacked_lists": f"""
 SELECT {MASTER_COLUMNS} FROM fx_old_list UNION ALL SELECT {MASTER_COLUMNS} FROM v_refreshed""",
     "merged_list": "SELECT * FROM v_merged",
+    "merged_list_in_parts": "SELECT * FROM v_merged",
     **{
         f"rule_{rule.name}": "SELECT bundle, app_name, details, segment_grp, segment_grp_1 "
         f"FROM ({_rule(rule, 'fx_persona_list')})"

@@ -19,10 +19,10 @@ from bundlescope.operators.persona_view import persona_table_rows, persona_view
 from bundlescope.plans.inputs import Inputs
 from bundlescope.plans.monthly_refresh import monthly_refresh
 from bundlescope.session import scratch_path
-from bundlescope.sources import files, sinks, tables
+from bundlescope.sources import device_store, files, parts, results, sightings, sinks, tables
 
 PERIOD = ("20000201", "20000229")
-DAYS = ("20000228", "20000301")
+MIDDLE = "19990101"
 WHOLE_PERIOD = ("19950101", "20021231")
 RUN_DATE = date(2000, 3, 1)
 
@@ -44,12 +44,27 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # ---- usage -----------------------------------------------------------------
 
 
-def _laid_out(i: Inputs) -> str:
-    """The sightings as files by country and day, as the readers expect them."""
-    path = scratch_path(i.spark, "sightings")
-    rows = i.sightings().repartition("country", "date")
-    rows.write.partitionBy("country", "date").parquet(path)
-    return path
+_LAYOUTS: dict[tuple[str, ...], str] = {}
+
+
+def _once(i: Inputs, kind: str, write: Callable[[str], None]) -> str:
+    """A folder that one session writes once for all queries over the same data."""
+    key = (i.spark.sparkContext.applicationId, i.folder, kind)
+    if key not in _LAYOUTS:
+        path = scratch_path(i.spark, kind)
+        write(path)
+        _LAYOUTS[key] = path
+    return _LAYOUTS[key]
+
+
+def _by_key(i: Inputs) -> str:
+    """The sightings as files by country and day."""
+
+    def write(path: str) -> None:
+        rows = i.sightings().repartition("country", "date")
+        rows.write.partitionBy("country", "date").parquet(path)
+
+    return _once(i, "sightings", write)
 
 
 @query
@@ -59,23 +74,30 @@ def sightings_exploded(i: Inputs) -> DataFrame:
 
 @query
 def sightings_pruned(i: Inputs) -> DataFrame:
-    """One month read from files; other days and countries are not opened."""
-    chosen = files.read_sightings(i.spark, _laid_out(i), *PERIOD)
+    """One month read from files; other days and countries are neither opened nor listed."""
+    chosen = sightings.read_sightings(i.spark, _by_key(i), *PERIOD)
     return usage.device_apps(chosen, "country", "date")
 
 
 @query
 def sightings_by_path(i: Inputs) -> DataFrame:
-    """Some days from plain folders, where country and day are read off the path."""
-    root, path = _laid_out(i), scratch_path(i.spark, "plain")
-    for country in fixed.COUNTRIES:
-        for day in dates.partition_days(*DAYS):
-            part = files.read_sightings(i.spark, root, day, day, [country])
-            part.select("ifa", "app").write.parquet(f"{path}/{country}/{day}")
-    read = files.read_sightings_by_path(i.spark, f"{path}/", *DAYS)
+    """All days from their folders, where country and day are read off the path."""
+    read = sightings.read_sightings_by_path(
+        i.spark, f"{_by_key(i)}/", *WHOLE_PERIOD, layout=sightings.KEYED, skip_missing=True
+    )
     return usage.device_apps(read, "country", "date")
 
 
+@query
+def sightings_from_table(i: Inputs) -> DataFrame:
+    """One month through a catalog table that knows the folder of each day."""
+    root, table = f"{_by_key(i)}/", f"bundlescope_sightings_{uuid.uuid4().hex}"
+    sightings.create_sightings_table(i.spark, table, root)
+    days = i.sightings().select("country", "date").distinct().collect()
+    sightings.add_days(i.spark, table, root, days, sightings.KEYED)
+    return usage.device_apps(sightings.read_sightings_table(i.spark, table, *PERIOD), "country", "date")
+
+
 @query
 def missing_partitions(i: Inputs) -> DataFrame:
     return usage.missing_partitions(i.spark, i.sightings(), *WHOLE_PERIOD)
@@ -87,6 +109,19 @@ def unique_devices(i: Inputs) -> DataFrame:
     return usage.unique_devices(apps, "country", "bundle")
 
 
+@query
+def unique_devices_by_day(i: Inputs) -> DataFrame:
+    """The same from stored device sets, the second half's days added to the first's.
+
+    Lists of one device only, so that both forms of a set occur.
+    """
+    root, table = scratch_path(i.spark, "devices"), f"bundlescope_devices_{uuid.uuid4().hex}"
+    first = F.col("date") < MIDDLE
+    for part in (i.sightings().where(first), i.sightings().where(~first)):
+        device_store.add_sightings(part, table, root, buckets=8, sparse=1)
+    return device_store.unique_devices(i.spark, root, "00000000", "99999999", "country", "bundle")
+
+
 @query
 def known_apps(i: Inputs) -> DataFrame:
     return usage.categorised(i.view("fx_known_apps"))
@@ -116,14 +151,16 @@ def union_of_countries(i: Inputs) -> DataFrame:
     """Separate inputs per country, each read from its own folders, appended."""
     known = i.view("fx_known_apps")
     small = joins.fits_broadcast(usage.categorised(known).select("bundle"))
-    root = _laid_out(i)
-    parts = [
-        usage.unknown_apps(files.read_sightings(i.spark, root, *WHOLE_PERIOD, [country]), known, small=small)
+    root = _by_key(i)
+    countries = [
+        usage.unknown_apps(
+            sightings.read_sightings(i.spark, root, *WHOLE_PERIOD, [country]), known, small=small
+        )
         for country in fixed.COUNTRIES
     ]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.union(part)
+    whole = countries[0]
+    for one in countries[1:]:
+        whole = whole.union(one)
     return whole.select("bundle", "unique_ifa")
 
 
@@ -151,6 +188,18 @@ def resume_pending(i: Inputs) -> DataFrame:
     return batching.pending(batching.audiences(unknown_apps(i)), i.view("fx_done"))
 
 
+@query
+def resume_pending_bucketed(i: Inputs) -> DataFrame:
+    """The same against results in a table bucketed by app, filled by two runs."""
+    path, table = scratch_path(i.spark, "results"), f"bundlescope_results_{uuid.uuid4().hex}"
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.METADATA_RESULT.fields[1:]]
+    done = i.view("fx_done").select("bundle", *empty)
+    numeric = platform("bundle") == "IOS"
+    for part in (done.where(numeric), done.where(~numeric)):
+        results.append_results(part, table, path, buckets=8)
+    return batching.pending(batching.audiences(unknown_apps(i)), results.results_table(i.spark, table))
+
+
 def _all_audiences(i: Inputs) -> DataFrame:
     return batching.audiences(unique_devices(i), 0).where(F.col("bundle").isNotNull())
 
@@ -326,6 +375,15 @@ def merged_list(i: Inputs) -> DataFrame:
     return merging.merge_lists(i.view("fx_old_list"), i.view("fx_new_list"))
 
 
+@query
+def merged_list_in_parts(i: Inputs) -> DataFrame:
+    """The same as a fold that rewrites only the parts of a list that get new apps."""
+    path, table = scratch_path(i.spark, "parts"), f"bundlescope_parts_{uuid.uuid4().hex}"
+    parts.create_parts(i.view("fx_old_list"), table, path, "1", parts=16)
+    parts.fold(i.view("fx_new_list"), table, path, "2", refine=False)
+    return parts.read_parts(i.spark, table)
+
+
 def _rule_query(position: int) -> Callable[[Inputs], DataFrame]:
     def build(i: Inputs) -> DataFrame:
         """One rule on the unrefined list, each app's group being its reference group."""
@@ -449,9 +507,9 @@ def csv_reference(i: Inputs) -> DataFrame:
 def json_append(i: Inputs) -> DataFrame:
     """Two appends, then what is left to do against the results read back."""
     path = scratch_path(i.spark, "json")
-    results = i.metadata_results()
+    rows = i.metadata_results()
     numeric = platform("bundle") == "IOS"
-    for part in (results.where(numeric), results.where(~numeric)):
+    for part in (rows.where(numeric), rows.where(~numeric)):
         sinks.append_json(part, path)
     read = files.read_results_so_far(i.spark, path)
     return read.select("bundle", "unique_ifa", "mapped_info.*")

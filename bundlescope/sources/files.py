@@ -1,56 +1,16 @@
-"""Readers. Every one declares its schema."""
+"""Readers of lists and results; sightings have their own module. Every one declares its schema."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bundlescope import schemas
-from bundlescope.fixed_values import COUNTRIES
-from bundlescope.functions.dates import partition_days
 from bundlescope.operators.merging import trim_column_names
-from bundlescope.operators.usage import in_period
 from bundlescope.sources.sinks import CSV_TEXT
 
 
-def read_sightings(
-    spark: SparkSession, root: str, start: str, end: str, countries: Sequence[str] = COUNTRIES
-) -> DataFrame:
-    """Sightings laid out as ``country=XX/date=yyyyMMdd``: one scan, other partitions pruned."""
-    schema = T.StructType(schemas.SIGHTINGS.fields + schemas.SIGHTING_PARTITIONS.fields)
-    return in_period(spark.read.schema(schema).parquet(root), start, end, countries)
-
-
-def sighting_paths(
-    root: str, start: str, end: str, countries: Sequence[str] = COUNTRIES
-) -> list[str]:
-    """Every ``<root><country>/<yyyyMMdd>`` folder of the period."""
-    days = partition_days(start, end)
-    return [f"{root}{country}/{day}" for country in countries for day in days]
-
-
-def read_sightings_by_path(
-    spark: SparkSession, root: str, start: str, end: str, countries: Sequence[str] = COUNTRIES
-) -> DataFrame:
-    """Sightings in plain ``<root><country>/<yyyyMMdd>`` folders, all countries in one scan.
-
-    Country and day come from the file's own path. A missing folder fails the read.
-    """
-    paths = sighting_paths(root, start, end, countries)
-    if not paths:
-        empty = spark.createDataFrame([], schemas.SIGHTINGS)
-        return empty.select("*", F.lit("").alias("country"), F.lit("").alias("date"))
-    folders = F.split("_metadata.file_path", "/")
-    rows = spark.read.schema(schemas.SIGHTINGS).parquet(*paths)
-    return rows.select(
-        "*", F.element_at(folders, -3).alias("country"), F.element_at(folders, -2).alias("date")
-    )
-
-
 def read_known_apps(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.KNOWN_APPS).parquet(path)
 

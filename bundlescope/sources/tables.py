@@ -11,13 +11,13 @@ from bundlescope.operators.persona_view import persona_table_rows
 from bundlescope.schemas import PERSONA_TABLE
 
 
-def _name(identifier: str) -> str:
+def checked_name(identifier: str) -> str:
     if not re.fullmatch(r"\w+(\.\w+){0,2}", identifier):
         raise ValueError(f"not a table name: {identifier!r}")
     return identifier
 
 
-def _location(path: str) -> str:
+def checked_location(path: str) -> str:
     if "'" in path or "\\" in path:
         raise ValueError(f"not a usable location: {path!r}")
     return f"'{path}'"
@@ -25,17 +25,17 @@ def _location(path: str) -> str:
 
 def drop_table(spark: SparkSession, table: str) -> None:
     """Forget an external table; its files stay."""
-    spark.sql(f"DROP TABLE IF EXISTS {_name(table)}")
+    spark.sql(f"DROP TABLE IF EXISTS {checked_name(table)}")
 
 
 def drop_view(spark: SparkSession, view: str) -> None:
-    spark.sql(f"DROP VIEW IF EXISTS {_name(view)}")
+    spark.sql(f"DROP VIEW IF EXISTS {checked_name(view)}")
 
 
 def external_table(spark: SparkSession, table: str, columns: str, location: str) -> None:
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {_name(table)} ({columns}) "
-        f"USING PARQUET LOCATION {_location(location)}"
+        f"CREATE TABLE IF NOT EXISTS {checked_name(table)} ({columns}) "
+        f"USING PARQUET LOCATION {checked_location(location)}"
     )
 
 
@@ -48,12 +48,12 @@ def publish_version(df: DataFrame, table: str, root: str, version: str) -> str:
     columns that are not the table's: they would read as NULL from then on.
     """
     spark = df.sparkSession
-    if spark.catalog.tableExists(_name(table)) and df.dtypes != spark.table(table).dtypes:
+    if spark.catalog.tableExists(checked_name(table)) and df.dtypes != spark.table(table).dtypes:
         raise ValueError(f"columns differ from those of {table}: {df.dtypes}")
     location = f"{root.rstrip('/')}/version={version}"
     df.write.mode("errorifexists").parquet(location)
-    if spark.catalog.tableExists(_name(table)):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION {_location(location)}")
+    if spark.catalog.tableExists(checked_name(table)):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {checked_location(location)}")
         spark.catalog.refreshTable(table)
     else:
         columns = ", ".join(f"`{name}` {kind}" for name, kind in df.dtypes)
@@ -69,5 +69,5 @@ def publish_persona_view(
     spark: SparkSession, view: str, table: str, unique_rows: bool = False
 ) -> None:
     """Create or replace the permanent persona view over a persona table."""
-    query = persona_view_query(_name(table), PERSONA_TABLE.fieldNames(), unique_rows)
-    spark.sql(f"CREATE OR REPLACE VIEW {_name(view)} AS {query}")
+    query = persona_view_query(checked_name(table), PERSONA_TABLE.fieldNames(), unique_rows)
+    spark.sql(f"CREATE OR REPLACE VIEW {checked_name(view)} AS {query}")

@@ -9,6 +9,7 @@ from bundlescope import schemas, session
 from bundlescope.functions import dates
 from bundlescope.operators import usage
 from bundlescope.sources import files, sinks, tables
+from bundlescope.sources import sightings as sightings_source
 from bundlescope.streaming import incremental
 
 
@@ -29,7 +30,7 @@ def sightings(spark):
 def test_partitioned_sightings_are_pruned(spark, sightings, tmp_path):
     root = str(tmp_path / "hive")
     sightings.write.partitionBy("country", "date").parquet(root)
-    read = files.read_sightings(spark, root, "20200102", "20200103", ["MY", "SG"])
+    read = sightings_source.read_sightings(spark, root, "20200102", "20200103", ["MY", "SG"])
     apps = usage.device_apps(read, "country", "date")
     assert [tuple(r) for r in apps.collect()] == [("MY", "20200102", "a", "y")]
     plan = apps._jdf.queryExecution().executedPlan().toString()
@@ -43,15 +44,15 @@ def test_plain_folders(spark, sightings, tmp_path):
     for country, day in [("MY", "20200101"), ("MY", "20200102"), ("TH", "20200101"), ("TH", "20200102")]:
         part = sightings.where((F.col("country") == country) & (F.col("date") == day))
         part.select("ifa", "app").write.parquet(f"{root}{country}/{day}")
-    read = files.read_sightings_by_path(spark, root, "20200101", "20200102", ["MY", "TH"])
+    read = sightings_source.read_sightings_by_path(spark, root, "20200101", "20200102", ["MY", "TH"])
     got = sorted(tuple(r) for r in usage.device_apps(read, "country", "date").collect())
     assert got == [
         ("MY", "20200101", "a", "x"), ("MY", "20200102", "a", "y"),
         ("TH", "20200101", "b", "x"), ("TH", "20200102", "b", "z"),
     ]
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
-        files.read_sightings_by_path(spark, root, "20200101", "20200103", ["MY"])
-    assert files.read_sightings_by_path(spark, root, "20200102", "20200101").count() == 0
+        sightings_source.read_sightings_by_path(spark, root, "20200101", "20200103", ["MY"])
+    assert sightings_source.read_sightings_by_path(spark, root, "20200102", "20200101").count() == 0
 
 
 def test_csv_blank_text_comes_back_as_null(spark, tmp_path):

@@ -1,0 +1,68 @@
+import uuid
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from bundlescope import schemas
+from bundlescope.operators import batching
+from bundlescope.sources import results
+
+
+@pytest.fixture
+def table(spark):
+    name = f"results_{uuid.uuid4().hex}"
+    yield name
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def found(spark, *bundles):
+    record = tuple("x" for _ in schemas.METADATA.fields)
+    return spark.createDataFrame([(b, 1.0, 1, 1, record) for b in bundles], schemas.METADATA_RESULT)
+
+
+def test_runs_append_and_resume(spark, table, tmp_path):
+    path = str(tmp_path / "results")
+    assert results.results_table(spark, table).count() == 0
+    results.append_results(found(spark, "a", "b", None), table, path, buckets=4)
+    results.append_results(found(spark, "c").withColumn("unique_ifa", F.lit(3)), table, path, buckets=4)
+    assert results.results_table(spark, table).schema.names == schemas.METADATA_RESULT.names
+    apps = spark.createDataFrame([("a", 1), ("c", 1), ("d", 1), (None, 1)], schemas.UNKNOWN_APPS)
+    left = batching.pending(apps, results.results_table(spark, table))
+    assert sorted((r.bundle for r in left.collect()), key=repr) == ["d", None]
+    assert spark.table(table).where("bundle = 'c'").select("unique_ifa", "mapped_info.app_url").collect()[0][:] == (3.0, "x")
+
+
+def test_earlier_results_are_not_shuffled(spark, table, tmp_path):
+    results.append_results(found(spark, *map(str, range(50))), table, str(tmp_path / "results"), buckets=16)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        apps = spark.createDataFrame([("1", 1), ("x", 1)], schemas.UNKNOWN_APPS)
+        df = batching.pending(apps, results.results_table(spark, table))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert [r.bundle for r in df.collect()] == ["x"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    side = plan[plan.index("SortMergeJoin"):]
+    assert side.count("Exchange") == 1 and "Exchange" not in side[side.index("HashAggregate"):]
+    assert "ReadSchema: struct<bundle:string>" in side
+
+
+def test_number_of_buckets_is_fixed(spark, table, tmp_path):
+    results.append_results(found(spark, "a"), table, str(tmp_path / "results"), buckets=4)
+    with pytest.raises(AnalysisException):
+        results.append_results(found(spark, "b"), table, str(tmp_path / "results"), buckets=8)
+    assert spark.table(table).count() == 1
+
+
+def test_compaction_keeps_the_rows(spark, table, tmp_path):
+    for app in "abcabc":
+        results.append_results(found(spark, app), table, str(tmp_path / "results"), buckets=2)
+    new = f"{table}_new"
+    results.compact_results(spark, table, new, str(tmp_path / "new"), buckets=2)
+    assert sorted(r.bundle for r in spark.table(new).collect()) == list("aabbcc")
+    assert len(list((tmp_path / "new").glob("*.parquet"))) <= 2 < len(list((tmp_path / "results").glob("*.parquet")))
+    with pytest.raises(AnalysisException):
+        results.compact_results(spark, table, new, str(tmp_path / "again"), buckets=2)
+    spark.sql(f"DROP TABLE {new}")

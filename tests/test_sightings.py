@@ -1,0 +1,144 @@
+import os
+import uuid
+
+import pytest
+from pyspark.errors import AnalysisException
+
+from bundlescope.fixed_values import COUNTRIES
+from bundlescope.operators import usage
+from bundlescope.sources import sightings
+
+SCHEMA = "country string, date string, ifa string, app array<struct<bundle: string>>"
+ROWS = [
+    ("MY", "20200101", "a", [("x",)]),
+    ("MY", "20200102", "a", [("y",)]),
+    ("TH", "20200101", "b", [("x",), (None,)]),
+    ("TH", "20200103", "b", []),
+    ("TH", "20200103", None, [("z",)]),
+]
+
+
+@pytest.fixture
+def rows(spark):
+    return spark.createDataFrame(ROWS, SCHEMA)
+
+
+def apps(df):
+    return sorted((tuple(r) for r in usage.device_apps(df, "country", "date").collect()), key=repr)
+
+
+def wanted(start, end, countries=COUNTRIES):
+    return sorted(
+        ((c, d, ifa, app[0]) for c, d, ifa, listed in ROWS for app in listed if start <= d <= end and c in countries),
+        key=repr,
+    )
+
+
+def opened(df):
+    """Folders that the plan has listed."""
+    return {os.path.dirname(path.removeprefix("file://")) for path in df.inputFiles()}
+
+
+def test_only_folders_of_the_period_are_listed(spark, rows, tmp_path, monkeypatch):
+    root = str(tmp_path / "keyed")
+    rows.write.partitionBy("country", "date").parquet(root)
+    asked = []
+    real = sightings.existing
+
+    def noted(spark, paths):
+        asked.extend(paths)
+        return real(spark, paths)
+
+    monkeypatch.setattr(sightings, "existing", noted)
+    read = sightings.read_sightings(spark, root, "20200102", "20200103", ["MY", "TH"])
+    assert apps(read) == wanted("20200102", "20200103")
+    assert len(asked) == 4 and opened(read) == {f"{root}/country=MY/date=20200102", f"{root}/country=TH/date=20200103"}
+    scan = read._jdf.queryExecution().optimizedPlan().collectLeaves().head().relation().location()
+    assert scan.rootPaths().size() == 2  # nothing above these is listed
+
+
+def test_days_that_are_missing_are_skipped(spark, rows, tmp_path):
+    root = str(tmp_path / "keyed")
+    rows.write.partitionBy("country", "date").parquet(root)
+    assert apps(sightings.read_sightings(spark, root + "/", "20190101", "20191231")) == []
+    assert apps(sightings.read_sightings(spark, root, "20200103", "20200101")) == []
+    assert apps(sightings.read_sightings(spark, root, "20191201", "20200131")) == wanted("20191201", "20200131")
+    columns = ["ifa", "app", "country", "date"]
+    assert sightings.read_sightings(spark, root, "20190101", "20191231").columns == columns
+    assert sightings.read_sightings(spark, root, "20200101", "20200101").columns == columns
+
+
+def test_what_exists_is_found_by_name_or_by_listing(spark, tmp_path):
+    for name in ("a/1", "a/2", "a/40", "b/3"):
+        (tmp_path / name).mkdir(parents=True)
+    every = [f"{tmp_path}/{top}/{n}" for top in "abc" for n in range(50)]
+    few = [f"{tmp_path}/b/{n}" for n in range(2, 5)]
+    assert sightings.existing(spark, every) == [f"{tmp_path}/{x}" for x in ("a/1", "a/2", "a/40", "b/3")]
+    assert sightings.existing(spark, few) == [f"{tmp_path}/b/3"]
+    assert sightings.existing(spark, []) == []
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    name = f"sightings_{uuid.uuid4().hex}"
+    sightings.create_sightings_table(spark, name, str(tmp_path / "plain"))
+    yield name
+    spark.sql(f"DROP TABLE {name}")
+
+
+def add(spark, tmp_path, table, days):
+    sightings.add_days(spark, table, f"{tmp_path}/plain/", [(c, d) for c in ("MY", "TH") for d in days])
+
+
+def test_table_over_plain_folders(spark, rows, tmp_path, table):
+    days = ["20200101", "20200102", "20200103"]
+    add(spark, tmp_path, table, days)
+    sightings.write_sightings(rows, table)
+    root = f"{tmp_path}/plain/"
+    assert {f"{root}MY/20200101", f"{root}TH/20200103"} <= {str(p.parent) for p in (tmp_path / "plain").rglob("*.parquet")}
+    by_path = sightings.read_sightings_by_path(spark, root, "20200101", "20200103", ["MY", "TH"])
+    assert apps(by_path) == wanted("20200101", "20200103")
+    by_name = sightings.read_sightings_table(spark, table, "20200101", "20200103")
+    assert apps(by_name) == wanted("20200101", "20200103")
+    one = sightings.read_sightings_table(spark, table, "20200102", "20200102", ["MY"])
+    assert apps(one) == wanted("20200102", "20200102", ["MY"])
+    assert opened(one) == {f"{root}MY/20200102"}
+    assert "PartitionFilters" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_days_are_added_as_they_arrive(spark, rows, tmp_path, table):
+    add(spark, tmp_path, table, ["20200101"])
+    sightings.write_sightings(rows.where("date = '20200101'"), table)
+    assert apps(sightings.read_sightings_table(spark, table, "20200101", "20200131")) == wanted("20200101", "20200101")
+    add(spark, tmp_path, table, ["20200101", "20200102"])
+    sightings.write_sightings(rows.where("date = '20200102'"), table)
+    assert apps(sightings.read_sightings_table(spark, table, "20200101", "20200131")) == wanted("20200101", "20200102")
+    stored = {tuple(r) for r in sightings.stored_days(spark, table).collect()}
+    assert stored == {(c, d) for c in ("MY", "TH") for d in ("20200101", "20200102")}
+    gaps = usage.missing_partitions(spark, sightings.stored_days(spark, table), "20200101", "20200103", ["MY", "PH"])
+    assert {tuple(r) for r in gaps.collect()} == {("MY", "20200103"), *(("PH", f"2020010{n}") for n in (1, 2, 3))}
+
+
+def test_names_that_are_none_are_errors(spark, table):
+    for bad in ("x' LOCATION", "a-b", ""):
+        with pytest.raises(ValueError, match="not a table name"):
+            sightings.add_days(spark, table, "/tmp/x/", [(bad, "20200101")])
+    with pytest.raises(ValueError, match="not a usable location"):
+        sightings.add_days(spark, table, "/tmp/x'y/", [("MY", "20200101")])
+
+
+@pytest.mark.parametrize("layout", ["country={country}/date={day}", "{day}/{country}", "by.{country}-{day}/x"])
+def test_any_layout_by_path(spark, rows, tmp_path, layout):
+    for country, day in {r[:2] for r in ROWS}:
+        part = rows.where(f"country = '{country}' and date = '{day}'").select("ifa", "app")
+        part.write.parquet(f"{tmp_path}/{layout.format(country=country, day=day)}")
+    read = sightings.read_sightings_by_path(spark, f"{tmp_path}/", "20191231", "20200105", layout=layout, skip_missing=True)
+    assert apps(read) == wanted("20191231", "20200105")
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == "10000"
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        sightings.read_sightings_by_path(spark, f"{tmp_path}/", "20191231", "20200105", layout=layout)
+
+
+def test_a_plain_folder_that_is_missing_fails_the_read(spark, tmp_path):
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        sightings.read_sightings_by_path(spark, f"{tmp_path}/none/", "20200101", "20200101", ["MY"])
