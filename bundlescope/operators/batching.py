@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bundlescope.fixed_values import BATCH_SIZE, MIN_DEVICES
-from bundlescope.operators.joins import without
-from bundlescope.session import ensure_checkpoint_dir
+from bundlescope.operators.joins import Size, stored_and_measured, without
 
 # monotonically_increasing_id: partition number above, position in it below this bit.
 _POSITION_BITS = 33
@@ -34,19 +33,25 @@ def pending(apps: DataFrame, done: DataFrame) -> DataFrame:
 def number_rows(df: DataFrame, *order: str, name: str = "rn") -> DataFrame:
     """Row number 1..n over the whole table, NULLs first, without one task seeing it all.
 
-    ``order`` must tell all rows apart. Rows are range partitioned and sorted, and
-    their place in their partition is written down with a checkpoint, since a
-    recomputed range partitioning may cut elsewhere. What reaches the driver is
-    one count per partition; what is broadcast is one offset per partition.
+    ``order`` must tell all rows apart.
+    """
+    return numbered_and_measured(df, *order, name=name)[0]
+
+
+def numbered_and_measured(df: DataFrame, *order: str, name: str = "rn") -> tuple[DataFrame, Size]:
+    """``number_rows`` and the size of the table, which is found on the way.
+
+    Rows are range partitioned and sorted, and their place in their partition is written
+    down, since a recomputed range partitioning may cut elsewhere. What reaches the driver
+    is one count per partition; what is broadcast is one offset per partition.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     ascending = [F.asc_nulls_first(c) for c in order]
-    placed = (
+    placed, size = stored_and_measured(
         df.repartitionByRange(*ascending)
         .sortWithinPartitions(*ascending)
-        .withColumn("_place", F.monotonically_increasing_id())
-        .checkpoint()
+        .withColumn("_place", F.monotonically_increasing_id()),
+        "numbered",
     )
     part = F.shiftright("_place", _POSITION_BITS).cast("int")
     position = F.col("_place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
@@ -56,17 +61,23 @@ def number_rows(df: DataFrame, *order: str, name: str = "rn") -> DataFrame:
         [(size["part"], total) for size, total in zip(sizes, before)],
         "_part int, _before bigint",
     )
-    return (
+    numbered = (
         placed.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
-        .select(*df.columns, (F.col("_before") + position + 1).alias(name))
+        .select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_before") + position + 1).alias(name))
     )
+    return numbered, size
 
 
 def batched(apps: DataFrame, size: int = BATCH_SIZE) -> DataFrame:
     """Row number by app id and the batch it falls in; all batches full but the last."""
-    numbered = number_rows(apps, "bundle")
-    return numbered.withColumn("grp", F.ceil(F.col("rn") / size))
+    return batched_and_measured(apps, size)[0]
+
+
+def batched_and_measured(apps: DataFrame, size: int = BATCH_SIZE) -> tuple[DataFrame, Size]:
+    """``batched`` and the size of the list."""
+    numbered, found = numbered_and_measured(apps, "bundle")
+    return numbered.withColumn("grp", F.ceil(F.col("rn") / size)), found
 
 
 def batch_count(batches: DataFrame) -> DataFrame:

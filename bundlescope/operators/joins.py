@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bundlescope.functions import bitmaps
+from bundlescope.session import stored
 
 BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
@@ -42,14 +43,24 @@ class Size:
         return self.rows <= max_rows and self.bytes <= max_bytes
 
 
-def _size_columns(df: DataFrame) -> list[Column]:
-    return [F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes")]
+def observed(df: DataFrame) -> tuple[DataFrame, Callable[[], Size]]:
+    """The rows, and a function that gives their size after an action on them has run to its end."""
+    found = Observation()
+    sizes = F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes")
+    return df.observe(found, *sizes), lambda: Size(found.get["rows"], found.get["bytes"] or 0)
 
 
 def measured(df: DataFrame) -> Size:
-    """A table's size: one aggregate, one row to the driver."""
-    size = df.agg(*_size_columns(df)).first()
-    return Size(size["rows"], size["bytes"] or 0)
+    """A table's size, observed in one pass without a shuffle of its own."""
+    rows, size = observed(df)
+    rows.write.format("noop").mode("overwrite").save()
+    return size()
+
+
+def stored_and_measured(df: DataFrame, label: str) -> tuple[DataFrame, Size]:
+    """The rows as a table in the shared folder, and its size observed while it is written."""
+    rows, size = observed(df)
+    return stored(rows, label), size()
 
 
 def fits_broadcast(
@@ -134,13 +145,15 @@ def lookup_join(
     right_key: str,
     max_rows: int = BROADCAST_MAX_ROWS,
     max_bytes: int = BROADCAST_MAX_BYTES,
+    size: Size | None = None,
 ) -> DataFrame:
     """Left join to a reference: broadcast when it measures small, else salted.
 
     Unmatched and NULL keys keep their row; repeated reference keys fan out. The
-    two key columns must have different names, and both are kept.
+    two key columns must have different names, and both are kept. ``size`` is the
+    reference's where it is known.
     """
-    if fits_broadcast(right, max_rows, max_bytes):
+    if (size or measured(right)).fits(max_rows, max_bytes):
         return left.join(F.broadcast(right), left[left_key] == right[right_key], "left")
     return salted_left_join(left, right, left_key, right_key)
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bundlescope.functions.rules import refine_segments
-from bundlescope.operators.joins import lookup_join
+from bundlescope.operators.joins import lookup_join, stored_and_measured
 
 
 def trim_column_names(df: DataFrame) -> DataFrame:
@@ -31,9 +31,13 @@ def smallest_segment_index(master: DataFrame) -> DataFrame:
 
 
 def refresh_segment_index(new: DataFrame, reference: DataFrame) -> DataFrame:
-    """Replace a list's index by the reference's; a group with several indexes fans out."""
-    keyed = reference.withColumnRenamed("segment_grp_1", "_ref_group")
-    joined = lookup_join(new.drop("segment_index"), keyed, "segment_grp_1", "_ref_group")
+    """Replace a list's index by the reference's; a group with several indexes fans out.
+
+    The reference is a small result of a pass over a whole list, so it is written once and
+    measured meanwhile.
+    """
+    keyed, size = stored_and_measured(reference.withColumnRenamed("segment_grp_1", "_ref_group"), "segment-index")
+    joined = lookup_join(new.drop("segment_index"), keyed, "segment_grp_1", "_ref_group", size=size)
     others = [c for c in new.columns if c not in ("segment_grp_1", "segment_index")]
     return joined.select("segment_grp_1", *others, "segment_index")
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from bundlescope import fixed_values as fixed
 from bundlescope.functions import html
 from bundlescope.functions.text import capitalise, is_numeric_id
-from bundlescope.operators.joins import BROADCAST_MAX_ROWS, measured, perhaps_listed
+from bundlescope.operators.joins import BROADCAST_MAX_ROWS, Size, measured, perhaps_listed
 
 LOOKUP_SCHEMA = "resultCount BIGINT, results ARRAY<MAP<STRING,STRING>>"
 
@@ -134,26 +134,30 @@ def one_record_per_app(found: DataFrame) -> DataFrame:
     return chosen.select("bundle", F.col("_best.mapped_info").alias("mapped_info"))
 
 
-def asked_for(payloads: DataFrame, apps: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def asked_for(
+    payloads: DataFrame, apps: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, size: Size | None = None
+) -> DataFrame:
     """The payloads of the listed apps; beyond ``max_rows`` apps a few others pass.
 
     Page text is never shuffled: a list that measures small is broadcast, of a longer one
-    a filter of bounded size is.
+    a filter of bounded size is. ``size`` is the list's where it is known.
     """
     wanted = apps.select("bundle")
-    size = measured(wanted)
+    size = size or measured(wanted)
     if size.fits(max_rows):
         return payloads.join(F.broadcast(wanted), "bundle", "left_semi")
     return perhaps_listed(payloads, wanted, "bundle", size.rows)
 
 
-def look_up(apps: DataFrame, payloads: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def look_up(
+    apps: DataFrame, payloads: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, size: Size | None = None
+) -> DataFrame:
     """Attach ``mapped_info`` to batched apps; an app without payloads is Not Found.
 
     Payloads of other apps are left out before they are parsed, all of them or, with a
     long list, all but a few, whose records meet no app. What is shuffled are records.
     """
-    found = one_record_per_app(store_metadata(asked_for(payloads, apps, max_rows)))
+    found = one_record_per_app(store_metadata(asked_for(payloads, apps, max_rows, size)))
     found = found.withColumnRenamed("bundle", "_bundle")
     joined = apps.join(found, apps["bundle"] == found["_bundle"], "left")
     missing = F.col("mapped_info").isNull() & F.col("bundle").isNotNull()

@@ -79,15 +79,19 @@ def bundle_totals(base: DataFrame) -> DataFrame:
     )
 
 
-def attach_totals(rows: DataFrame, totals: DataFrame) -> DataFrame:
+def attach_totals(rows: DataFrame, totals: DataFrame, hot_apps: bool = True) -> DataFrame:
     """Every row of an app gets the app's total; a NULL app gets NULL.
 
     Salted: one app may hold a large part of all rows, and the totals, one row
     per app, are not bounded either. NULL matches NULL, because the IS NOT NULL
     that a plain equality adds to the totals would make their shuffle of distinct
-    rows differ from that of the rows, and Spark could not use one for both.
+    rows differ from that of the rows, and Spark could not use one for both. Where it is
+    known that no app has many rows, ``hot_apps=False`` saves looking for them.
     """
     reference = totals.withColumnRenamed("bundle", "ref_bundle")
+    if not hot_apps:
+        same = F.col("bundle").eqNullSafe(F.col("ref_bundle"))
+        return rows.join(reference, same, "left").drop("ref_bundle")
     joined = salted_left_join(rows, reference, "bundle", "ref_bundle", null_safe=True)
     return joined.drop("ref_bundle")
 
@@ -99,11 +103,15 @@ def segmented_list(
     start: str,
     end: str,
     run_date: date,
+    hot_apps: bool = True,
 ) -> DataFrame:
-    """The whole step: metadata rows to the columns of the master list."""
+    """The whole step: metadata rows to the columns of the master list.
+
+    ``hot_apps=False`` says that the results have about one row per app.
+    """
     base = app_base(results, start, end, run_date)
     indexed = join_persona_index(join_segments(base, ref_app), ref_persona)
-    return attach_totals(indexed, bundle_totals(base))
+    return attach_totals(indexed, bundle_totals(base), hot_apps)
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

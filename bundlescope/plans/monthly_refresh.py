@@ -42,16 +42,20 @@ def monthly_refresh(
 ) -> Refresh:
     """Plan a refresh for one period.
 
-    Numbering the batches runs the sightings part and checkpoints the resulting
-    list, so everything after it starts from there and not from the sightings.
+    Numbering the batches runs the sightings part and writes the resulting list, so
+    everything after it starts from there and not from the sightings. What a step finds out
+    about the size of its result is passed on and not measured again.
     """
     unknown = usage.unknown_apps(usage.in_period(sightings, start, end, countries), known)
     todo = batching.pending(batching.audiences(unknown, min_devices), done)
-    batches = batching.batched(todo, batch_size)
-    results = metadata.look_up(batches, payloads).withColumn(
+    batches, size = batching.batched_and_measured(todo, batch_size)
+    results = metadata.look_up(batches, payloads, size=size).withColumn(
         "unique_ifa", F.col("unique_ifa").cast("double")
     )
-    segmented = segmenting.segmented_list(results, ref_app, ref_persona, start, end, run_date)
+    # An app is in one batch once, so no app has many results.
+    segmented = segmenting.segmented_list(
+        results, ref_app, ref_persona, start, end, run_date, hot_apps=False
+    )
     cleaned = merging.clean_master_list(master, segmented)
     table = persona_view.persona_table_rows(cleaned)
     view = persona_view.persona_view(table, unique_rows=True)
