@@ -7,7 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from bundlescope.session import scratch_path
 
@@ -28,6 +29,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def set_apart(docs: DataFrame, *used: str) -> tuple[DataFrame, list[Column]]:
+    """The rows with every column but the used ones under a name that no operator uses, and
+    the columns that give them their names and order back."""
+    apart = [c if c in used else f"passed_{n}" for n, c in enumerate(docs.columns)]
+    return docs.toDF(*apart), [F.col(a).alias(c) for a, c in zip(apart, docs.columns)]
+
+
 def text_slices(
     batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES
 ) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:

@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bundlescope.llm.arrow import list_bounds, stored, table, text_slices, words_of
+from bundlescope.llm.arrow import list_bounds, set_apart, stored, table, text_slices, words_of
 
 RANK = 96
 STEP = 16
@@ -361,12 +361,13 @@ def _leaking_texts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that leak no item, with all their columns."""
+    docs, back = set_apart(docs, "doc_id", "text")
     found = _leaking_texts(docs, benchmark).select(F.col("doc_id").alias("_doc"), "text_key").distinct()
     found = stored(found, "leaking")
     kept = docs.join(found.where("_doc IS NOT NULL"), F.col("doc_id") == F.col("_doc"), "left_anti")
     texts = found.where("_doc IS NULL").select(F.col("text_key").alias("_key"))
     kept = kept.join(texts, _text_key() == F.col("_key"), "left_anti")
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return kept.select(*back)
 
 
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,8 @@ only, each batch and each compaction shuffles and sorts the earlier runs again.
 
 Nulls: a null text is one empty line; rows without a document id keep all their
 lines and count for no key. Rows that repeat a document id are one document.
-An empty table gives no rows. Other columns are not looked at.
+An empty table gives no rows. Other columns are not looked at, whatever their names, and
+stay in ``kept_lines``.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bundlescope.llm.arrow import stored, table, text_slices
+from bundlescope.llm.arrow import set_apart, stored, table, text_slices
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -136,7 +137,10 @@ def _rejoined(text: str, lost: set[bytes]) -> tuple[str, int, int]:
 
 
 def without_common_lines(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
-    """All rows and columns with the remaining text, and ``n_lines``, ``n_dropped`` after them."""
+    """All rows with the remaining text, and ``n_lines``, ``n_dropped`` after them.
+
+    Other columns must not be called like these or ``_doc`` and ``_lines``.
+    """
     lost = dropped_lines(docs, line_index(docs, batches).lines())
     joined = docs.join(lost.withColumnRenamed("doc_id", "_doc"), docs["doc_id"] == F.col("_doc"), "left")
     columns, text_at = docs.columns, docs.columns.index("text")
@@ -157,10 +161,22 @@ def without_common_lines(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     )
 
 
+def kept_lines(docs: DataFrame, length: str | None = None, batches: int = BATCHES) -> DataFrame:
+    """All rows and columns with the remaining text; a column named by ``length`` gets its
+    code points where lines were dropped."""
+    rows, back = set_apart(docs, "doc_id", "text")
+    found = without_common_lines(rows, batches)
+    if length in docs.columns:
+        at = docs.columns.index(length)
+        name, kind = rows.columns[at], docs.schema[at].dataType
+        kept = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col(name))
+        back[at] = kept.cast(kind).alias(length)
+    return found.select(*back)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    kept = without_common_lines(docs)
-    return kept.select(
+    return without_common_lines(docs).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
     )
 

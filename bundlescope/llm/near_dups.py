@@ -8,10 +8,17 @@ chance, estimates their similarity; what may pass is confirmed on the full sets.
 
 Texts with equal sets are one class from the start. Within a band's bucket no
 list of pairs is made: each class is first held against the smallest classes of its
-buckets, at most one per bucket, and of those that seem alike against three. What that links needs no more comparing; then, in buckets that still hold
-several components, the members outside the bucket's largest component are held
-against the others, so every pair of classes that share a bucket is either in one
-component already or is compared. With 32 bands of 5 registers a pair at 0.85 is
+buckets, at most one per bucket, and of those that seem alike against three. What that
+links needs no more comparing. In buckets that still hold several components, the members
+outside the bucket's largest component are held against the others, but only where they
+share a rare shingle: shingles are put in ascending order of the open classes that hold
+them, and of two sets alike enough, the smaller one's first n - ceil(2tn / (1 + t)) + 1
+shingles and the larger one's first n - ceil(tn) + 1 have one in common (t is the limit,
+n a set's size). So near copies of a text that share its words but not each other's
+changes do not meet, and no pair is lost that the limit would link: every pair of classes
+that share a bucket is in one component already, is compared, or is below the limit.
+Near copies of one text whose changes are few enough that common shingles are among the
+first (some 0.67 to 0.8 alike at a limit of 0.8) still meet one by one. With 32 bands of 5 registers a pair at 0.85 is
 in no common bucket 7 times in 10^9, at 0.8 3 times in 10^6. An estimate more than
 ``MARGIN`` = 6 standard errors below the limit drops a pair unconfirmed; computed from
 the binomial, a pair exactly at a limit of 0.85 is lost that way 2.3 times in 10^8, at
@@ -30,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bundlescope.llm.arrow import (
@@ -43,6 +50,7 @@ from bundlescope.llm.arrow import (
     words_of,
 )
 from bundlescope.llm.components import components
+from bundlescope.operators.joins import perhaps_listed
 
 WORDS = 5
 PERCENT = 80
@@ -189,10 +197,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], schema=arrow)
 
-    sets = stored(
-        _chosen(docs).join(ends, "doc_id", "left_semi").mapInArrow(whole, "node bigint, shingles array<bigint>"),
-        "shingles",
-    )
+    sets = stored(_texts_of(docs, ends).mapInArrow(whole, "node bigint, shingles array<bigint>"), "shingles")
     rows = pairs.join(sets.toDF("b", "sb"), "b").join(sets.toDF("a", "sa"), "a")
     common = F.size(F.array_intersect("sa", "sb")).cast("bigint")
     sizes = F.size("sa").cast("bigint") + F.size("sb")
@@ -201,6 +206,52 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     return counted.where(alike).select("a", "b")
 
 
+def _texts_of(docs: DataFrame, ends: DataFrame) -> DataFrame:
+    """The rows of the documents in ``ends``; texts of others are left where they are."""
+    ends = stored(ends, "wanted")
+    near = perhaps_listed(_chosen(docs), ends, "doc_id", ends.count())
+    return near.join(ends, "doc_id", "left_semi")
+
+
+def rare_shingles(docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
+    """node, n, token and ``first`` of the shingles by which the nodes' sets can be alike.
+
+    Shingles that no other set of the nodes has come first and are left out, since nothing
+    meets there. ``first`` marks those that suffice for the smaller set of a pair.
+    """
+    arrow = pa.schema(
+        [("node", pa.int64()), ("part", pa.int64()), ("n", pa.int64()), ("token", pa.int64())]
+    )
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for batch, texts in text_slices(batches, "text"):
+            for node, found in zip(batch.column("doc_id").to_pylist(), shingle_sets(texts, words)):
+                part = np.int64(xxhash.xxh3_64_intdigest(found.tobytes()) >> 1)
+                sizes = [np.full(len(found), x, np.int64) for x in (node, part, len(found))]
+                yield table(arrow, [*sizes, found.view(np.int64)])
+
+    shape = "node bigint, part bigint, n bigint, token bigint"
+    held = stored(_texts_of(docs, nodes.select(F.col("node").alias("doc_id"))).mapInArrow(tokens, shape), "open-shingles")
+    often = stored(
+        held.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1"), "common-shingles"
+    )
+    of_set = Window.partitionBy("node", "part")
+    placed = held.join(often, "token").select(
+        "node",
+        "n",
+        "token",
+        (F.col("n") - F.count(F.lit(1)).over(of_set)
+         + F.row_number().over(of_set.orderBy("sets", "token"))).alias("place"),
+    )
+    longest = F.col("n") - F.expr(f"({percent} * n + 99) div 100") + 1
+    shortest = F.col("n") - F.expr(f"({2 * percent} * n + {99 + percent}) div {100 + percent}") + 1
+    return placed.where(F.col("place") <= longest).select(
+        "node", "n", "token", (F.col("place") <= shortest).alias("first")
+    )
+
+
 def near_duplicate_components(
     docs: DataFrame, words: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
@@ -223,7 +274,7 @@ def near_duplicate_components(
     first = alike.select(F.explode(F.slice("a", 1, CENTERS)).alias("a"), "b")
     links = stored(confirmed(stored(first, "stars"), docs, words, percent), "links")
     found = components(links)
-    more = stored(promising(_apart(shared, found, percent), classes, percent), "apart")
+    more = stored(promising(_apart(shared, found, docs, words, percent), classes, percent), "apart")
     if not more.isEmpty():
         found = components(links.union(confirmed(more, docs, words, percent)))
     nodes = classes.select("set_key", F.col("node").alias("_class"))
@@ -242,12 +293,10 @@ def near_duplicate_components(
     )
 
 
-def _apart(shared: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes in one bucket and different components, their sizes permitting."""
+def _apart(shared: DataFrame, found: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs of classes in open buckets and different components that can be alike enough."""
     members = stored(
-        shared.join(found, "node", "left").select(
-            "band", "node", "n", F.coalesce("component", "node").alias("component")
-        ),
+        shared.join(found, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component")),
         "members",
     )
     parts = members.groupBy("band", "component").agg(F.count(F.lit(1)).alias("size"))
@@ -255,17 +304,27 @@ def _apart(shared: DataFrame, found: DataFrame, percent: int) -> DataFrame:
         F.max(F.struct("size", "component"))["component"].alias("main"), F.count(F.lit(1)).alias("parts")
     )
     open_buckets = members.join(main.where("parts > 1"), "band")
-    outside = open_buckets.where("component <> main").select(
-        "band", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx")
-    )
-    other = open_buckets.select(
-        F.col("band").alias("_band"), F.col("node").alias("y"), F.col("n").alias("ny"),
-        F.col("component").alias("cy"), (F.col("component") == F.col("main")).alias("inside"),
+    outside = F.max(F.col("component") != F.col("main"))
+    nodes = stored(
+        open_buckets.groupBy("node").agg(F.max("component").alias("component"), outside.alias("outside")),
+        "open-classes",
     )
-    once = F.col("inside") | (F.col("x") < F.col("y"))
+    rare = stored(rare_shingles(docs, nodes, words, percent).join(nodes, "node"), "rare-shingles")
+    one = rare.where("outside").select(
+        F.col("token").alias("_token"), F.col("node").alias("x"), F.col("n").alias("nx"),
+        F.col("component").alias("cx"), F.col("first").alias("fx"),
+    )
+    other = rare.select(
+        "token", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"),
+        F.col("first").alias("fy"), "outside",
+    )
+    once = ~F.col("outside") | (F.col("x") < F.col("y"))
     sizes = F.lit(100) * F.least("nx", "ny") >= F.lit(percent) * F.greatest("nx", "ny")
-    matches = (F.col("band") == F.col("_band")) & (F.col("cx") != F.col("cy")) & once & sizes
-    pairs = outside.join(other, matches)
+    # Sets of one size: the smaller node's is taken for the smaller one.
+    smaller = (F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") < F.col("y")))
+    meets = (smaller & F.col("fx")) | (~smaller & F.col("fy"))
+    matches = (F.col("_token") == F.col("token")) & (F.col("cx") != F.col("cy")) & once & sizes & meets
+    pairs = one.join(other, matches)
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 

@@ -9,7 +9,8 @@ then settled without gathering pieces: a piece's rank among those of its length
 is the count in earlier write tasks plus its place in its own.
 
 Nulls: a null text is empty, one piece with the end id alone; null ids stay null.
-Repeated rows are packed as often as they occur. An empty table gives no rows.
+Repeated rows are packed as often as they occur. An empty table gives no rows. Columns
+other than doc_id and text are not looked at, whatever their names.
 """
 
 from __future__ import annotations

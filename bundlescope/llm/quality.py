@@ -10,7 +10,7 @@ documents to be rejected.
 
 Nulls: a null text has no words; a null or empty source is no host, and only the
 document's own rules decide. Repeated rows count as often as they occur. An empty
-table gives no rows. Columns other than doc_id, source and text pass through.
+table gives no rows. Columns other than source and text pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bundlescope.llm.arrow import mixed, run_hashes, stored, table, text_slices, word_hashes, words_of
+from bundlescope.llm.arrow import mixed, run_hashes, set_apart, stored, text_slices, word_hashes, words_of
 from bundlescope.operators.joins import lookup_join
 
 MIN_WORDS = 20
@@ -143,9 +143,9 @@ def judged(rows: DataFrame, hosts: DataFrame) -> DataFrame:
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The documents that their own rules and their host's verdict keep, with their columns."""
-    thin = measured(docs.select("source", "text")).drop("text")
-    hosts = host_verdicts(thin)
-    return judged(measured(docs), hosts).where("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows, back = set_apart(docs, "source", "text")
+    hosts = host_verdicts(measured(rows.select("source", "text")).drop("text"))
+    return judged(measured(rows), hosts).where("kept").select(*back)
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

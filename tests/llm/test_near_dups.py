@@ -129,3 +129,50 @@ def test_components_of_chains_and_stars(spark):
     found = components(spark.createDataFrame(links, "a bigint, b bigint"))
     got = {r.node: r.component for r in found.collect()}
     assert got == {n: 100 for n in range(100, 161)} | {n: 3 for n in (3, 7, *range(1000, 1200))}
+
+
+def family(copies, share, length=200, seed=3):
+    """Copies of one text, each with a share of its words replaced by words of its own."""
+    rng = random.Random(seed)
+    base = [f"base{k}" for k in range(length)]
+    rows = []
+    for n in range(copies):
+        at = set(rng.sample(range(length), int(length * share)))
+        rows.append((n, " ".join(f"own{n}x{k}" if k in at else w for k, w in enumerate(base))))
+    return rows
+
+
+def test_prefixes_lose_no_pair(spark):
+    """All classes in one open bucket: pairs that can be alike meet, at any size."""
+    rng = random.Random(11)
+    rows = family(40, 0.03) + [(1000 + n, t) for n, t in family(30, 0.05, 60, 4)] + [(2000, "base1 base2 base3"), (2001, "one")]
+    rows += [(3000 + n, " ".join(rng.sample(rows[n][1].split(), 190))) for n in range(10)]
+    rows += [(4000 + n, " ".join(rows[n][1].split()[: 200 - 4 * n])) for n in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    sets = {n: {tuple(t.split()[k : k + 3]) for k in range(max(1, len(t.split()) - 2))} for n, t in rows}
+    shared = spark.createDataFrame([(1, n, len(sets[n])) for n in sets], "band bigint, node bigint, n bigint")
+    alone = spark.createDataFrame([], "node bigint, component bigint")
+    for percent in (50, 80, 85):
+        met = {tuple(r) for r in near_dups._apart(shared, alone, docs, 3, percent).collect()}
+        alike = {
+            (a, b)
+            for a in sets
+            for b in sets
+            if a < b and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
+        }
+        assert alike <= met and len(alike) >= 10
+        assert len(met) < len(sets) * (len(sets) - 1) / 2
+
+
+def test_near_copies_below_the_limit_do_not_meet(spark):
+    """Pairs grow with a family's members, not with their square."""
+    found = []
+    for copies in (50, 100, 200):
+        rows = family(copies, 0.06)
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+        shared = spark.createDataFrame([(1, n, 196) for n, _ in rows], "band bigint, node bigint, n bigint")
+        alone = spark.createDataFrame([], "node bigint, component bigint")
+        found.append(near_dups._apart(shared, alone, docs, 5, 80).count())
+        got = near_dups.near_duplicate_components(docs)
+        assert got.where("kept").count() == copies
+    assert found[-1] <= 200, found

@@ -2,6 +2,8 @@ import collections
 import re
 
 import duckdb
+import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 import corpus_pipeline
@@ -90,3 +92,33 @@ def test_stages_keep_the_columns(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, FOLDER).dtypes == docs.dtypes
     assert corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).collect() == []
+
+
+#: Every name that a stage uses itself, one with a dot, one that differs in case alone.
+CLASHING = (
+    "kept", "host_rejected", "host_rate", "_host", "_n_words", "_n_lines", "n_words", "n_lines", "n_dropped", "_doc",
+    "_lines", "lines", "line", "last", "_key", "text_key", "node", "registers", "set_key", "component_id", "_class",
+    "item_id", "lcs", "row", "passed_0", "_number", "_bits", "_bucket", "a.b", "a b", "SOURCES", "",
+)
+
+
+@pytest.mark.parametrize("number", range(5))
+def test_stages_pass_other_columns_on_whatever_their_names(spark, number):
+    name, stage = corpus_pipeline.STAGES[number]
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("doc_id < 60")
+    plain = stage(spark, docs, FOLDER)
+    names = [*CLASHING[:9], *docs.columns, *CLASHING[9:]]
+    extra = [F.concat(F.lit(f"{c} of "), "doc_id").alias(c) for c in CLASHING]
+    odd = docs.select(*extra[:9], *docs.columns, *extra[9:])
+    assert odd.columns == names
+    found = stage(spark, odd, FOLDER)
+    if number == 4:
+        assert found.columns == plain.columns and found.count() == plain.count()
+        return
+    assert found.columns == names
+    at = {c: n for n, c in enumerate(names)}
+    rows = [tuple(r) for r in found.collect()]
+    assert sorted(tuple(r[at[c]] for c in docs.columns) for r in rows) == sorted(tuple(r) for r in plain.collect())
+    for r in rows:
+        for c in CLASHING:
+            assert r[at[c]] == f"{c} of {r[at['doc_id']]}"
