@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from bundlescope.llm.decontamination import without_leaks
-from bundlescope.llm.line_dedup import without_common_lines
+from bundlescope.llm.line_dedup import kept_lines
 from bundlescope.llm.near_dups import without_near_duplicates
 from bundlescope.llm.packing import packed_digest
 from bundlescope.llm.quality import kept_documents
@@ -20,12 +19,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that a later document keeps."""
-    found = without_common_lines(docs)
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        length = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))
-        found = found.withColumn("n_chars", length.cast(kind))
-    return found.select(*docs.columns)
+    return kept_lines(docs, length="n_chars")
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
