@@ -11,14 +11,15 @@ list of pairs is made: each class is first held against the smallest classes of
 buckets, at most one per bucket, and of those that seem alike against three. What that
 links needs no more comparing. In buckets that still hold several components, the members
 outside the bucket's largest component are held against the others, but only where they
-share a rare shingle: shingles are put in ascending order of the open classes that hold
-them, and of two sets alike enough, the smaller one's first n - ceil(2tn / (1 + t)) + 1
-shingles and the larger one's first n - ceil(tn) + 1 have one in common (t is the limit,
-n a set's size). So near copies of a text that share its words but not each other's
-changes do not meet, and no pair is lost that the limit would link: every pair of classes
-that share a bucket is in one component already, is compared, or is below the limit.
-Near copies of one text whose changes are few enough that common shingles are among the
-first (some 0.67 to 0.8 alike at a limit of 0.8) still meet one by one. With 32 bands of 5 registers a pair at 0.85 is
+share a rare shingle. Shingles are put in ascending order of the open classes that hold
+them; two sets alike enough have one in common among the first n - ceil(tn) + 1 of each
+(t is the limit, n a set's size), and the first one they share stands so early in both
+that enough shingles follow. So near copies of a text that share its words but not each
+other's changes seldom meet. Those that meet are paired only if the parities of their
+shingles in 2048 places differ in no more places than the sets may differ in shingles.
+None of this loses a pair that the limit would link: every pair of classes that share a
+bucket is in one component already, is compared, or is below the limit. With 32 bands
+of 5 registers a pair at 0.85 is
 in no common bucket 7 times in 10^9, at 0.8 3 times in 10^6. An estimate more than
 ``MARGIN`` = 6 standard errors below the limit drops a pair unconfirmed; computed from
 the binomial, a pair exactly at a limit of 0.85 is lost that way 2.3 times in 10^8, at
@@ -59,6 +60,8 @@ REGISTERS = BANDS * ROWS
 MANTISSA = 10
 MARGIN = 6.0
 CENTERS = 3
+#: 64-bit words of a set's parities.
+PARITY_WORDS = 32
 _MULTIPLIERS = np.random.default_rng(20240607).integers(0, 1 << 31, REGISTERS, np.uint32) * np.uint32(2) + np.uint32(1)
 
 
@@ -213,43 +216,61 @@ def _texts_of(docs: DataFrame, ends: DataFrame) -> DataFrame:
     return near.join(ends, "doc_id", "left_semi")
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """For each place whether an odd number of the shingles falls there. Where two sets'
+    parities differ, the sets do, so they differ in as many shingles at least."""
+    bits = PARITY_WORDS * 64
+    odd = np.bincount((shingles % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def rare_shingles(docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
-    """node, n, token and ``first`` of the shingles by which the nodes' sets can be alike.
+    """node, n, token, place (from 1) and parities of the shingles by which the nodes' sets
+    can be alike.
 
     Shingles that no other set of the nodes has come first and are left out, since nothing
-    meets there. ``first`` marks those that suffice for the smaller set of a pair.
+    meets there.
     """
     arrow = pa.schema(
         [("node", pa.int64()), ("part", pa.int64()), ("n", pa.int64()), ("token", pa.int64())]
     )
+    sketch = pa.schema([("node", pa.int64()), ("part", pa.int64()), *((f"p{k}", pa.int64()) for k in range(PARITY_WORDS))])
 
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray]]:
         import xxhash
 
         for batch, texts in text_slices(batches, "text"):
             for node, found in zip(batch.column("doc_id").to_pylist(), shingle_sets(texts, words)):
-                part = np.int64(xxhash.xxh3_64_intdigest(found.tobytes()) >> 1)
-                sizes = [np.full(len(found), x, np.int64) for x in (node, part, len(found))]
-                yield table(arrow, [*sizes, found.view(np.int64)])
+                yield node, xxhash.xxh3_64_intdigest(found.tobytes()) >> 1, found
 
-    shape = "node bigint, part bigint, n bigint, token bigint"
-    held = stored(_texts_of(docs, nodes.select(F.col("node").alias("doc_id"))).mapInArrow(tokens, shape), "open-shingles")
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for node, part, found in sets(batches):
+            sizes = [np.full(len(found), x, np.int64) for x in (node, part, len(found))]
+            yield table(arrow, [*sizes, found.view(np.int64)])
+
+    def signs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for node, part, found in sets(batches):
+            yield table(sketch, [[node], [part], *([x] for x in parities(found).tolist())])
+
+    texts = stored(_texts_of(docs, nodes.select(F.col("node").alias("doc_id"))), "open-texts")
+    held = stored(texts.mapInArrow(tokens, "node bigint, part bigint, n bigint, token bigint"), "open-shingles")
+    signed = texts.mapInArrow(
+        signs, "node bigint, part bigint, " + ", ".join(f"p{k} bigint" for k in range(PARITY_WORDS))
+    )
     often = stored(
         held.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1"), "common-shingles"
     )
     of_set = Window.partitionBy("node", "part")
     placed = held.join(often, "token").select(
         "node",
+        "part",
         "n",
         "token",
         (F.col("n") - F.count(F.lit(1)).over(of_set)
          + F.row_number().over(of_set.orderBy("sets", "token"))).alias("place"),
     )
     longest = F.col("n") - F.expr(f"({percent} * n + 99) div 100") + 1
-    shortest = F.col("n") - F.expr(f"({2 * percent} * n + {99 + percent}) div {100 + percent}") + 1
-    return placed.where(F.col("place") <= longest).select(
-        "node", "n", "token", (F.col("place") <= shortest).alias("first")
-    )
+    return placed.where(F.col("place") <= longest).join(signed.distinct(), ["node", "part"]).drop("part")
 
 
 def near_duplicate_components(
@@ -274,7 +295,8 @@ def near_duplicate_components(
     first = alike.select(F.explode(F.slice("a", 1, CENTERS)).alias("a"), "b")
     links = stored(confirmed(stored(first, "stars"), docs, words, percent), "links")
     found = components(links)
-    more = stored(promising(_apart(shared, found, docs, words, percent), classes, percent), "apart")
+    apart = _apart(_open_buckets(shared, found), docs, words, percent)
+    more = stored(promising(apart, classes, percent), "apart")
     if not more.isEmpty():
         found = components(links.union(confirmed(more, docs, words, percent)))
     nodes = classes.select("set_key", F.col("node").alias("_class"))
@@ -293,8 +315,8 @@ def near_duplicate_components(
     )
 
 
-def _apart(shared: DataFrame, found: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs of classes in open buckets and different components that can be alike enough."""
+def _open_buckets(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """band, node, component and the bucket's largest component ``main``, where there are several."""
     members = stored(
         shared.join(found, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component")),
         "members",
@@ -303,27 +325,33 @@ def _apart(shared: DataFrame, found: DataFrame, docs: DataFrame, words: int, per
     main = parts.groupBy("band").agg(
         F.max(F.struct("size", "component"))["component"].alias("main"), F.count(F.lit(1)).alias("parts")
     )
-    open_buckets = members.join(main.where("parts > 1"), "band")
+    return stored(members.join(main.where("parts > 1"), "band").drop("parts"), "open-buckets")
+
+
+def _apart(open_buckets: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs of classes in open buckets and different components that can be alike enough."""
     outside = F.max(F.col("component") != F.col("main"))
     nodes = stored(
         open_buckets.groupBy("node").agg(F.max("component").alias("component"), outside.alias("outside")),
         "open-classes",
     )
     rare = stored(rare_shingles(docs, nodes, words, percent).join(nodes, "node"), "rare-shingles")
+    words_of_set = [f"p{k}" for k in range(PARITY_WORDS)]
     one = rare.where("outside").select(
         F.col("token").alias("_token"), F.col("node").alias("x"), F.col("n").alias("nx"),
-        F.col("component").alias("cx"), F.col("first").alias("fx"),
+        F.col("component").alias("cx"), F.col("place").alias("px"), *[F.col(w).alias(f"_{w}") for w in words_of_set],
     )
     other = rare.select(
         "token", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"),
-        F.col("first").alias("fy"), "outside",
+        F.col("place").alias("py"), "outside", *words_of_set,
     )
     once = ~F.col("outside") | (F.col("x") < F.col("y"))
     sizes = F.lit(100) * F.least("nx", "ny") >= F.lit(percent) * F.greatest("nx", "ny")
-    # Sets of one size: the smaller node's is taken for the smaller one.
-    smaller = (F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") < F.col("y")))
-    meets = (smaller & F.col("fx")) | (~smaller & F.col("fy"))
-    matches = (F.col("_token") == F.col("token")) & (F.col("cx") != F.col("cy")) & once & sizes & meets
+    common = F.expr(f"({percent} * (nx + ny) + {99 + percent}) div {100 + percent}")
+    early = F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py")) + 1 >= common
+    different = [F.bit_count(F.col(w).bitwiseXOR(F.col(f"_{w}"))) for w in words_of_set]
+    differ = sum(different[1:], different[0]) <= F.col("nx") + F.col("ny") - 2 * common
+    matches = (F.col("_token") == F.col("token")) & (F.col("cx") != F.col("cy")) & once & sizes & early & differ
     pairs = one.join(other, matches)
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
