@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 from bundlescope import schemas
 from bundlescope.fixed_values import BATCH_SIZE, COUNTRIES, MIN_DEVICES
 from bundlescope.operators import batching, merging, metadata, segmenting, usage
-from bundlescope.sources import files, sightings, sinks, tables
+from bundlescope.sources import device_store, files, parts, sightings, sinks, tables
 from bundlescope.sources import results as bucketed
 
 
@@ -28,18 +28,47 @@ def list_unknown_apps(
     end: str,
     countries: Sequence[str] = COUNTRIES,
     plain_folders: bool = False,
+    sightings_table: bool = False,
 ) -> None:
     """Apps seen in the period but without a category, as CSV with one row per country and app.
 
     ``plain_folders`` reads ``<root><country>/<yyyyMMdd>`` instead of
-    ``country=XX/date=yyyyMMdd``.
+    ``country=XX/date=yyyyMMdd``; with ``sightings_table`` the root is the name of a
+    sightings table.
     """
-    read = sightings.read_sightings_by_path if plain_folders else sightings.read_sightings
+    read = sightings.read_sightings
+    if sightings_table:
+        read = sightings.read_sightings_table
+    elif plain_folders:
+        read = sightings.read_sightings_by_path
     known = spark.table(master_table).select("bundle", "category")
     unknown = usage.unknown_apps(read(spark, sightings_root, start, end, countries), known)
     sinks.write_csv(unknown.select("bundle", "unique_ifa"), out)
 
 
+def add_sightings(
+    spark: SparkSession, table: str, root: str, days: Sequence[tuple[str, str]], layout: str = sightings.PLAIN
+) -> None:
+    """Make countries and days below a root known to a sightings table, which may be new."""
+    sightings.create_sightings_table(spark, table, root)
+    sightings.add_days(spark, table, root, days, layout)
+
+
+def add_device_sets(
+    spark: SparkSession,
+    sightings_root: str,
+    devices_table: str,
+    out: str,
+    start: str,
+    end: str,
+    countries: Sequence[str] = COUNTRIES,
+    buckets: int = device_store.BUCKETS,
+) -> None:
+    """Add the period's days to the stored device sets, from which any period is counted."""
+    seen = sightings.read_sightings(spark, sightings_root, start, end, countries)
+    device_store.add_sightings(seen, devices_table, out, buckets)
+
+
 def look_up_pending(
     spark: SparkSession,
     unknown: str,
@@ -112,6 +141,11 @@ def clean_list(
     return tables.publish_version(cleaned, master_table, root, version)
 
 
+def fold_list(spark: SparkSession, parts_table: str, segmented: str, root: str, version: str) -> list[int]:
+    """Fold the segmented list into a master list in parts; returns the parts that changed."""
+    return parts.fold(files.read_master_list(spark, segmented), parts_table, root, version)
+
+
 def publish_personas(
     spark: SparkSession, master_table: str, table: str, view: str, root: str, version: str
 ) -> None:

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -53,9 +56,46 @@ def shared_dir(spark: SparkSession) -> str:
     return fallback
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path of its own under the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path of its own under the shared folder, deleted when the program ends."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if not _scratch:
+        atexit.register(_delete_at_exit)
+    _scratch.append(path)
+    return path
+
+
+def _delete(jvm, conf, paths: list[str]) -> None:
+    for path in paths:
+        location = jvm.org.apache.hadoop.fs.Path(path)
+        location.getFileSystem(conf).delete(location, True)
+        if path in _scratch:
+            _scratch.remove(path)
+
+
+def delete_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch paths that nothing reads any more; others are left alone."""
+    _delete(spark._jvm, spark._jsc.hadoopConfiguration(), [p for p in paths if p in _scratch])
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """What is written as scratch within is deleted at the end; results must be elsewhere then."""
+    before = set(_scratch)
+    yield
+    delete_scratch(spark, [path for path in _scratch if path not in before])
+
+
+def _delete_at_exit() -> None:
+    jvm, context = SparkContext._jvm, SparkContext._active_spark_context
+    if jvm is not None:
+        # At the end of a program a file system that is gone is no reason to complain.
+        with contextlib.suppress(Exception):
+            conf = context._jsc.hadoopConfiguration() if context else jvm.org.apache.hadoop.conf.Configuration()
+            _delete(jvm, conf, list(_scratch))
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -63,9 +103,3 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Give ``DataFrame.checkpoint`` a reliable folder unless the context has one."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))

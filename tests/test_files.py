@@ -183,3 +183,19 @@ def test_shared_folder_is_the_one_the_session_names():
     assert session.shared_dir(stand_in("local[8]")).endswith("/app-1")
     with pytest.raises(ValueError, match="shared by all executors"):
         session.shared_dir(stand_in("yarn"))
+
+
+def test_scratch_is_deleted_when_nothing_needs_it(spark):
+    def there(path):
+        location = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+
+    rows = spark.range(3)
+    outer = session.scratch_path(spark, "outer")
+    with session.scratch_scope(spark):
+        inner = session.stored(rows, "inner")
+        [inner_path] = {path.rpartition("/")[0] for path in inner.inputFiles()}
+        inner.write.parquet(outer)
+    assert not there(inner_path) and spark.read.parquet(outer).count() == 3
+    session.delete_scratch(spark, ["/root", outer])
+    assert not there(outer) and there("/root")
