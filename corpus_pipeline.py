@@ -9,7 +9,7 @@ from bundlescope.llm.line_dedup import kept_lines
 from bundlescope.llm.near_dups import without_near_duplicates
 from bundlescope.llm.packing import packed_digest
 from bundlescope.llm.quality import kept_documents
-from bundlescope.session import scratch_path
+from bundlescope.session import delete_scratch, scratch_path, scratch_scope
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,10 +50,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each stage's rows are a table that the next one reads."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over documents; each stage's rows are a table that the next one reads.
+
+    What a stage wrote for itself goes when its rows are written, and a stage's rows go when
+    the next one's are, so the shared folder holds two stages' rows at most.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES:
         path = scratch_path(spark, name.replace(" ", "-"))
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        delete_scratch(spark, before)
+        before = [path]
     return docs
