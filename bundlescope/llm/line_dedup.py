@@ -2,15 +2,17 @@
 
 A line's key is the line without outer ``[\\x20\\x09-\\x0D]``, A-Z lower-cased,
 hashed to 128 bits. Documents come in batches. A batch is reduced to one row per
-key (documents that hold it, largest document id) and merge-joined with the keys
-that earlier runs saw first: keys that no run has are the batch's own (``fresh``),
-of the others only the counts are added. The result is a new run, sorted by key,
-in the shared folder. A level with ``fanout`` runs is compacted to one run of the
-next level, so a key is rewritten once per level and not once per batch.
-
-What is dropped is decided by grouping the keys of all runs (``lines``). ``fresh``
-is only read by the next batch's join, and as runs are sorted within write partitions
-only, each batch and each compaction shuffles and sorts the earlier runs again.
+key (documents that hold it, largest document id) and merge-anti-joined with the runs
+so far, one after the other: what no run has is the batch's own and becomes a new run;
+what is left of the batch are ``hits``, further sightings of keys that a run has. So each
+key is in one run, once, and its documents are those of its row and of its hits, which
+are few, since most lines occur once. A level with ``fanout`` runs is compacted to one
+run of the next level, so a key is rewritten once per level and not once per batch.
+
+Runs, batches and hits are tables dealt out by key into the same number of buckets and
+sorted in each, so the joins between them shuffle nothing. Texts are read once for
+their keys and once to drop lines. A line that very many documents hold is one row of a
+plain join, whose partitions adaptive execution can split.
 
 Nulls: a null text is one empty line; rows without a document id keep all their
 lines and count for no key. Rows that repeat a document id are one document.
@@ -21,6 +23,7 @@ stay in ``kept_lines``.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -29,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bundlescope.llm.arrow import set_apart, stored, table, text_slices
+from bundlescope.session import scratch_path
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -66,67 +70,112 @@ def line_keys(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return chosen.mapInArrow(keys, "doc_id bigint, line binary")
 
 
+_RUN = "line binary, docs bigint, last bigint"
+
+
 class LineRuns:
-    """Levels of sorted runs: line, docs, last, fresh."""
+    """Levels of sorted runs with line, docs, last, each key once, and hits of their keys."""
 
     def __init__(self, spark: SparkSession, fanout: int = FANOUT):
-        self.spark, self.fanout, self.levels = spark, fanout, []
+        self.spark, self.fanout = spark, fanout
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.levels: list[list[DataFrame]] = []
+        self.hits: list[DataFrame] = []
+        self.paths: dict[DataFrame, str] = {}
 
     def _all(self) -> list[DataFrame]:
         return [run for level in self.levels for run in level]
 
-    def _write(self, rows: DataFrame, level: int) -> None:
-        run = stored(rows.sortWithinPartitions("line"), f"lines-level{level}")
+    def _dealt(self, rows: DataFrame, label: str) -> DataFrame:
+        """The rows as a table in the shared folder, dealt out by line and sorted.
+
+        Only its files stay; the catalog entry, by which Spark learns of the buckets, goes.
+        """
+        name = f"{label}_{uuid.uuid4().hex}"
+        path = scratch_path(self.spark, label)
+        writer = rows.select("line", "docs", "last").repartition(self.buckets, "line").write.format("parquet")
+        writer.bucketBy(self.buckets, "line").sortBy("line").option("path", path).saveAsTable(name)
+        found = self.spark.table(name)
+        self.spark.sql(f"DROP TABLE {name}")
+        self.paths[found] = path
+        return found
+
+    def _together(self, tables: list[DataFrame]) -> DataFrame:
+        """The rows of several tables, read as plain files.
+
+        A union of bucketed tables counts as dealt out by line, also where its scans are not
+        read by bucket, and a grouping of it would then be wrong.
+        """
+        return self.spark.read.schema(_RUN).parquet(*[self.paths[t] for t in tables])
+
+    def _level(self, run: DataFrame, level: int) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(run)
         if len(self.levels[level]) >= self.fanout:
             runs, self.levels[level] = self.levels[level], []
-            self._write(_merged(runs), level + 1)
+            self._level(self._dealt(self._together(runs), "line_run"), level + 1)
 
     def add(self, batch: DataFrame) -> None:
         """Add one batch of line, docs, last whose documents no earlier batch had."""
-        runs = self._all()
-        if not runs:
-            rows = batch.withColumn("fresh", F.lit(True))
-        else:
-            first = reduce(DataFrame.union, [r.where("fresh").select("line") for r in runs])
-            first = first.withColumn("_seen", F.lit(True)).hint("merge")
-            rows = batch.join(first, "line", "left").select(
-                "line", "docs", "last", F.col("_seen").isNull().alias("fresh")
+        batch = self._dealt(batch, "line_batch")
+        if not self._all():
+            self._level(batch, 0)
+            return
+        fresh = batch
+        for run in self._all():
+            fresh = fresh.join(run.select("line").hint("merge"), "line", "left_anti")
+        fresh = self._dealt(fresh, "line_run")
+        self.hits.append(self._dealt(batch.join(fresh.select("line").hint("merge"), "line", "left_anti"), "line_hits"))
+        self._level(fresh, 0)
+
+    def lines(self, min_docs: int = 1) -> DataFrame:
+        """line, docs, last of the lines that so many documents have, one row per line."""
+        if not self.hits:
+            return self._together(self._all()).where(F.col("docs") >= min_docs)
+        summed = self._together(self.hits).groupBy("line").agg(
+            F.sum("docs").alias("docs"), F.max("last").alias("last")
+        )
+        more = self._dealt(summed, "line_more").select("line", F.col("docs").alias("_docs"), F.col("last").alias("_last"))
+        found = [run.join(more.hint("merge"), "line", "left") for run in self._all()]
+        told = [
+            one.select(
+                "line",
+                (F.col("docs") + F.coalesce("_docs", F.lit(0))).alias("docs"),
+                F.greatest("last", "_last").alias("last"),
             )
-        self._write(rows, 0)
+            for one in found
+        ]
+        return stored(reduce(DataFrame.union, told).where(F.col("docs") >= min_docs), "common-lines")
 
-    def lines(self) -> DataFrame:
-        """One row per line seen so far: line, docs, last, fresh."""
-        return _merged(self._all())
 
+def line_index(keys: DataFrame, batches: int = BATCHES, fanout: int = FANOUT) -> LineRuns:
+    """The runs of a corpus's keys (``stored_keys``), added in batches of documents."""
+    runs = LineRuns(keys.sparkSession, fanout)
+    for number in range(batches):
+        part = keys.where(F.col("batch") == number)
+        runs.add(part.groupBy("line").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("last")))
+    return runs
 
-def _merged(runs: list[DataFrame]) -> DataFrame:
-    rows = reduce(DataFrame.union, runs)
-    return rows.groupBy("line").agg(
-        F.sum("docs").alias("docs"), F.max("last").alias("last"), F.max("fresh").alias("fresh")
-    )
 
+def stored_keys(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
+    """doc_id, line and batch of each document's distinct keys, in a folder per batch.
 
-def line_index(docs: DataFrame, batches: int = BATCHES, fanout: int = FANOUT) -> LineRuns:
-    """The runs of a corpus, added in batches of documents."""
+    Rows that repeat a document id are brought together only where there are any.
+    """
     ids = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count()
-    repeated = not ids.where("count > 1").isEmpty()
-    runs = LineRuns(docs.sparkSession, fanout)
-    for number in range(batches):
-        part = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == number)
-        count = F.count_distinct("doc_id") if repeated else F.count(F.lit(1))
-        runs.add(
-            line_keys(part).groupBy("line").agg(count.alias("docs"), F.max("doc_id").alias("last"))
-        )
-    return runs
+    keys = line_keys(docs)
+    if not ids.where("count > 1").isEmpty():
+        keys = keys.distinct()
+    path = scratch_path(docs.sparkSession, "line-keys")
+    batch = F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int")
+    keys.withColumn("batch", batch).write.partitionBy("batch").parquet(path)
+    return docs.sparkSession.read.schema("doc_id bigint, line binary, batch int").parquet(path)
 
 
-def dropped_lines(docs: DataFrame, lines: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def dropped_lines(keys: DataFrame, common: DataFrame) -> DataFrame:
     """The keys that each document loses: doc_id, lines."""
-    common = lines.where(F.col("docs") >= min_docs).select("line", "last")
-    lost = line_keys(docs).join(common, "line").where(F.col("doc_id") != F.col("last"))
+    lost = keys.join(common.select("line", "last"), "line").where(F.col("doc_id") != F.col("last"))
     return lost.groupBy("doc_id").agg(F.collect_set("line").alias("_lines"))
 
 
@@ -141,7 +190,8 @@ def without_common_lines(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
 
     Other columns must not be called like these or ``_doc`` and ``_lines``.
     """
-    lost = dropped_lines(docs, line_index(docs, batches).lines())
+    keys = stored_keys(docs, batches)
+    lost = dropped_lines(keys, line_index(keys, batches).lines(MIN_DOCS))
     joined = docs.join(lost.withColumnRenamed("doc_id", "_doc"), docs["doc_id"] == F.col("_doc"), "left")
     columns, text_at = docs.columns, docs.columns.index("text")
     counts = [("n_lines", pa.int64()), ("n_dropped", pa.int64())]

@@ -83,6 +83,30 @@ def test_runs_are_compacted(spark):
     assert found == {b"a": (5, 4)} | {bytes([n]): (1, n) for n in range(5)}
 
 
+def test_each_key_is_in_one_run_by_the_anti_join(spark):
+    runs = line_dedup.LineRuns(spark, fanout=3)
+    rows = collections.defaultdict(list)
+    for n in range(6):
+        listed = [(bytes([k]), 1 + k % 3, 10 * n + k) for k in range(n, n + 4)]
+        for line, docs, last in listed:
+            rows[line].append((docs, last))
+        runs.add(spark.createDataFrame(listed, "line binary, docs bigint, last bigint"))
+    held = [bytes(r.line) for level in runs.levels for run in level for r in run.collect()]
+    assert sorted(held) == sorted(rows) and len(runs.hits) == 5
+    found = {bytes(r.line): (r.docs, r.last) for r in runs.lines().collect()}
+    assert found == {k: (sum(d for d, _ in v), max(x for _, x in v)) for k, v in rows.items()}
+
+
+def test_joins_of_runs_shuffle_nothing(spark):
+    runs = line_dedup.LineRuns(spark)
+    batch = spark.createDataFrame([(b"a", 1, 1), (b"b", 1, 2)], "line binary, docs bigint, last bigint")
+    runs.add(batch)
+    dealt = runs._dealt(batch, "line_batch")
+    plan = dealt.join(runs.levels[0][0].select("line").hint("merge"), "line", "left_anti")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text and "LeftAnti" in text and "Exchange" not in text
+
+
 def plain_quality(text):
     words = re.findall("[^\x20\x09-\x0d]+", text or "")
     windows = collections.Counter(tuple(words[k : k + 8]) for k in range(len(words) - 7))
