@@ -16,7 +16,7 @@ them; two sets alike enough have one in common among the first n - ceil(tn) + 1
 (t is the limit, n a set's size), and the first one they share stands so early in both
 that enough shingles follow. So near copies of a text that share its words but not each
 other's changes seldom meet. Those that meet are paired only if the parities of their
-shingles in 2048 places differ in no more places than the sets may differ in shingles.
+shingles in 1024 places differ in no more places than the sets may differ in shingles.
 None of this loses a pair that the limit would link: every pair of classes that share a
 bucket is in one component already, is compared, or is below the limit. With 32 bands
 of 5 registers a pair at 0.85 is
@@ -61,7 +61,8 @@ MANTISSA = 10
 MARGIN = 6.0
 CENTERS = 3
 #: 64-bit words of a set's parities.
-PARITY_WORDS = 32
+PARITY_WORDS = 16
+_PARITIES = [f"p{k}" for k in range(PARITY_WORDS)]
 _MULTIPLIERS = np.random.default_rng(20240607).integers(0, 1 << 31, REGISTERS, np.uint32) * np.uint32(2) + np.uint32(1)
 
 
@@ -231,46 +232,45 @@ def rare_shingles(docs: DataFrame, nodes: DataFrame, words: int, percent: int) -
     Shingles that no other set of the nodes has come first and are left out, since nothing
     meets there.
     """
-    arrow = pa.schema(
-        [("node", pa.int64()), ("part", pa.int64()), ("n", pa.int64()), ("token", pa.int64())]
+    arrow = pa.schema([("part", pa.int64()), ("token", pa.int64())])
+    sketch = pa.schema(
+        [("part", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), *((w, pa.int64()) for w in _PARITIES)]
     )
-    sketch = pa.schema([("node", pa.int64()), ("part", pa.int64()), *((f"p{k}", pa.int64()) for k in range(PARITY_WORDS))])
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray]]:
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[int], list[np.ndarray]]]:
+        """Nodes, a hash of each node and set, and the sets of some texts."""
         import xxhash
 
         for batch, texts in text_slices(batches, "text"):
-            for node, found in zip(batch.column("doc_id").to_pylist(), shingle_sets(texts, words)):
-                yield node, xxhash.xxh3_64_intdigest(found.tobytes()) >> 1, found
+            nodes, found = batch.column("doc_id").to_pylist(), list(shingle_sets(texts, words))
+            parts = [xxhash.xxh3_64_intdigest(f.tobytes(), d & (1 << 64) - 1) >> 1 for d, f in zip(nodes, found)]
+            yield nodes, parts, found
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for node, part, found in sets(batches):
-            sizes = [np.full(len(found), x, np.int64) for x in (node, part, len(found))]
-            yield table(arrow, [*sizes, found.view(np.int64)])
+        for _, parts, found in sets(batches):
+            owner = np.repeat(np.array(parts, np.int64), [len(f) for f in found])
+            yield table(arrow, [owner, np.concatenate(found).view(np.int64)])
 
     def signs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for node, part, found in sets(batches):
-            yield table(sketch, [[node], [part], *([x] for x in parities(found).tolist())])
+        for nodes, parts, found in sets(batches):
+            sizes = [len(f) for f in found]
+            yield table(sketch, [parts, nodes, sizes, *np.stack([parities(f) for f in found]).T])
 
     texts = stored(_texts_of(docs, nodes.select(F.col("node").alias("doc_id"))), "open-texts")
-    held = stored(texts.mapInArrow(tokens, "node bigint, part bigint, n bigint, token bigint"), "open-shingles")
-    signed = texts.mapInArrow(
-        signs, "node bigint, part bigint, " + ", ".join(f"p{k} bigint" for k in range(PARITY_WORDS))
-    )
+    held = stored(texts.mapInArrow(tokens, "part bigint, token bigint"), "open-shingles")
+    shape = ", ".join(f"{name} bigint" for name in sketch.names)
+    signed = stored(texts.mapInArrow(signs, shape).distinct(), "open-sets")
     often = stored(
         held.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1"), "common-shingles"
     )
-    of_set = Window.partitionBy("node", "part")
-    placed = held.join(often, "token").select(
-        "node",
-        "part",
-        "n",
-        "token",
-        (F.col("n") - F.count(F.lit(1)).over(of_set)
-         + F.row_number().over(of_set.orderBy("sets", "token"))).alias("place"),
-    )
+    of_set = Window.partitionBy("part")
+    order = F.row_number().over(of_set.orderBy("sets", "token")).alias("order")
+    common = held.join(often, "token").select("part", "token", order, F.count(F.lit(1)).over(of_set).alias("common"))
+    place = F.col("n") - F.col("common") + F.col("order")
     longest = F.col("n") - F.expr(f"({percent} * n + 99) div 100") + 1
-    return placed.where(F.col("place") <= longest).join(signed.distinct(), ["node", "part"]).drop("part")
+    return common.join(signed, "part").where(place <= longest).select(
+        "node", "n", "token", place.alias("place"), *_PARITIES
+    )
 
 
 def near_duplicate_components(
@@ -336,20 +336,19 @@ def _apart(open_buckets: DataFrame, docs: DataFrame, words: int, percent: int) -
         "open-classes",
     )
     rare = stored(rare_shingles(docs, nodes, words, percent).join(nodes, "node"), "rare-shingles")
-    words_of_set = [f"p{k}" for k in range(PARITY_WORDS)]
     one = rare.where("outside").select(
         F.col("token").alias("_token"), F.col("node").alias("x"), F.col("n").alias("nx"),
-        F.col("component").alias("cx"), F.col("place").alias("px"), *[F.col(w).alias(f"_{w}") for w in words_of_set],
+        F.col("component").alias("cx"), F.col("place").alias("px"), *[F.col(w).alias(f"_{w}") for w in _PARITIES],
     )
     other = rare.select(
         "token", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"),
-        F.col("place").alias("py"), "outside", *words_of_set,
+        F.col("place").alias("py"), "outside", *_PARITIES,
     )
     once = ~F.col("outside") | (F.col("x") < F.col("y"))
     sizes = F.lit(100) * F.least("nx", "ny") >= F.lit(percent) * F.greatest("nx", "ny")
     common = F.expr(f"({percent} * (nx + ny) + {99 + percent}) div {100 + percent}")
     early = F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py")) + 1 >= common
-    different = [F.bit_count(F.col(w).bitwiseXOR(F.col(f"_{w}"))) for w in words_of_set]
+    different = [F.bit_count(F.col(w).bitwiseXOR(F.col(f"_{w}"))) for w in _PARITIES]
     differ = sum(different[1:], different[0]) <= F.col("nx") + F.col("ny") - 2 * common
     matches = (F.col("_token") == F.col("token")) & (F.col("cx") != F.col("cy")) & once & sizes & early & differ
     pairs = one.join(other, matches)
