@@ -16,7 +16,9 @@ candidate the longest common subsequence of words with the whole item is found,
 and whether the item's answer, its last words, is there. A document leaks an item
 at ``MIN_LCS`` of the item's words, or at ``MIN_LCS_ANSWERED`` with the whole answer.
 
-The benchmark must fit in memory: more than ``MAX_ITEM_WORDS`` words are refused.
+A benchmark of more than ``MAX_ITEM_WORDS`` words is searched in blocks of items, of about
+half as many words each, so that a task holds one block at a time; every block takes a pass
+over the documents.
 Nulls: a null text is empty and neither leaks nor is leaked; rows without
 document id keep null in the result, and ``without_leaks`` judges each of them by its
 own text. Repeated rows give one row per item. Empty
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -306,19 +309,27 @@ def summed(rows: DataFrame, size: int, width: int, kind: str, measure) -> np.nda
     return out
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, max_words: int = MAX_ITEM_WORDS) -> DataFrame:
     """doc_id, item_id, lcs and answered, a row per document and item it leaks."""
     best = F.max(F.struct("lcs", "answered")).alias("best")
-    found = _leaking_texts(docs, benchmark).groupBy("doc_id", "item_id").agg(best)
+    found = _leaking_texts(docs, benchmark, max_words).groupBy("doc_id", "item_id").agg(best)
     return found.select("doc_id", "item_id", "best.lcs", "best.answered")
 
 
-def _leaking_texts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def _leaking_texts(docs: DataFrame, benchmark: DataFrame, max_words: int = MAX_ITEM_WORDS) -> DataFrame:
     """doc_id, text_key (of rows without document id), item_id, lcs and answered."""
     items = benchmark.where(F.col("text").isNotNull() & (F.col("text") != "")).select("item_id", "text").distinct()
     words = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
-    if words > MAX_ITEM_WORDS:
-        raise ValueError(f"a benchmark of {words} words is too large to be held by every task")
+    if words <= max_words:
+        return _leaking_block(docs, items)
+    blocks = 2 * words // max_words + 1
+    number = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
+    found = [stored(_leaking_block(docs, items.where(number == k)), "leaks") for k in range(blocks)]
+    return reduce(DataFrame.union, found)
+
+
+def _leaking_block(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The same for items that a task can hold."""
     bench = Benchmark([r.asDict() for r in items.collect()])
     size = max(1, len(bench.known))
     rows = stored(_located_rows(docs, bench.known), "located")

@@ -133,3 +133,12 @@ def test_common_subsequence():
         for k, x in enumerate(a):
             bits[x] = bits.get(x, 0) | 1 << k
         assert d.common_subsequence(bits, len(a), b) == row[-1]
+
+
+def test_a_large_benchmark_is_searched_in_blocks(spark):
+    docs, items, planted = made(120)
+    rows = spark.createDataFrame(docs, "doc_id bigint, text string")
+    bench = spark.createDataFrame([*items, (50, None), (51, "")], "item_id bigint, text string")
+    whole = {(r.doc_id, r.item_id): r.answered for r in d.leaks(rows, bench).collect()}
+    parts = {(r.doc_id, r.item_id): r.answered for r in d.leaks(rows, bench, max_words=200).collect()}
+    assert set(whole) == set(parts) and len(parts) >= 0.9 * len(planted)
