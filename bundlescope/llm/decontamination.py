@@ -46,7 +46,7 @@ MIN_COSINE = 0.4
 MIN_LCS = 0.6
 MIN_LCS_ANSWERED = 0.5
 ANSWER_WORDS = 5
-MAX_TERMS = 16_000
+MAX_TERMS = 64_000
 MAX_ITEM_WORDS = 1_000_000
 _OUTER = ".,;:!?\"'()[]{}*#$%&|<>-_"
 
@@ -62,8 +62,11 @@ def located_and_counted(texts: pa.Array, known: dict[str, int]) -> tuple[np.ndar
     if len(flat) == 0:
         return np.zeros(0, np.int32), np.zeros(0, np.int32), bounds, np.diff(bounds)
     coded = flat.dictionary_encode()
-    plain = pc.utf8_trim(pc.utf8_lower(coded.dictionary), _OUTER).to_pylist()
-    terms = np.array([known.get(w, -1) if w else -2 for w in plain], np.int32)[coded.indices.to_numpy()]
+    plain = pc.utf8_trim(pc.utf8_lower(coded.dictionary), _OUTER)
+    at = pc.fill_null(pc.index_in(plain, value_set=pa.array(known, plain.type)), len(known)).to_numpy()
+    numbers = np.append(np.fromiter(known.values(), np.int32, len(known)), np.int32(-1))[at]
+    numbers[pc.equal(plain, "").to_numpy(zero_copy_only=False)] = -2
+    terms = numbers[coded.indices.to_numpy()]
     real = np.concatenate([[0], np.cumsum(terms != -2)])
     hits = np.flatnonzero(terms >= 0)
     text = np.searchsorted(bounds, hits, side="right") - 1
@@ -83,11 +86,24 @@ class Passages:
         self.heads = np.flatnonzero(np.diff(keys, prepend=-1))
         self.keys = keys[self.heads]
 
+    def sums(self, vectors: np.ndarray) -> np.ndarray:
+        """The sum of the vectors of each segment's terms, of which it has at most STEP."""
+        lengths = np.diff(np.append(self.heads, len(self.terms)))
+        order = np.argsort(-lengths, kind="stable")
+        heads, ordered = self.heads[order], -lengths[order]
+        added = vectors[self.terms[heads]]
+        for k in range(1, -ordered[0]):
+            longer = np.searchsorted(ordered, -k)
+            added[:longer] += vectors[self.terms[heads[:longer] + k]]
+        out = np.empty_like(added)
+        out[order] = added
+        return out
+
     def vectors(self, space: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """A vector for each segment together with the next, its text and its first place."""
         if not len(self.heads):
             return np.zeros((0, RANK), np.float32), self.keys, self.keys
-        sums = np.add.reduceat(space[self.terms], self.heads, axis=0)
+        sums = self.sums(space)
         joined = sums.copy()
         joined[:-1] += np.where((np.diff(self.keys) == 1)[:, None], sums[1:], 0)
         return joined, self.keys >> 32, (self.keys & 0xFFFFFFFF) * STEP
@@ -114,7 +130,7 @@ def sketch_sums(found: Passages, omega: np.ndarray) -> np.ndarray:
     weights = np.zeros(len(omega), np.float32)
     weights[found.terms] = found.weights
     lengths = np.diff(np.append(found.heads, len(found.terms)))
-    projected = np.add.reduceat((weights[:, None] * omega)[found.terms], found.heads, axis=0)
+    projected = found.sums(weights[:, None] * omega)
     projected /= np.add.reduceat(found.weights**2, found.heads)[:, None]
     order = np.argsort(found.terms, kind="stable")
     ordered, segment = found.terms[order], np.repeat(np.arange(len(lengths)), lengths)[order]
@@ -162,6 +178,7 @@ class Benchmark:
                 bits[w] |= 1 << k
             self.bits.append(dict(bits))
         self.counts = [{w: places.bit_count() for w, places in bits.items()} for bits in self.bits]
+        self.lengths = np.array([len(words) for words in self.words], np.int64)
 
     def passages(self, weights: np.ndarray) -> Passages:
         return Passages(self.terms, self.places, self.bounds, weights)
@@ -190,7 +207,7 @@ class Benchmark:
 
 
 def candidates(found: Passages, space: np.ndarray, bench: Benchmark) -> np.ndarray:
-    """Distinct rows of text, item and the place where the item would begin."""
+    """Rows of text, item and the place where the item would begin, one per pair of passages."""
     vectors, text, start = found.vectors(space)
     norms = np.maximum(np.linalg.norm(vectors, axis=1), 1e-12)
     rows = [np.zeros((0, 3), np.int64)]
@@ -201,7 +218,23 @@ def candidates(found: Passages, space: np.ndarray, bench: Benchmark) -> np.ndarr
         passage, query = np.nonzero(dots[some] >= MIN_COSINE * norms[first + some, None])
         at = first + some[passage]
         rows.append(np.stack([text[at], bench.owner[query], start[at] - bench.starts[query]], axis=1))
-    return np.unique(np.concatenate(rows), axis=0)
+    return np.concatenate(rows)
+
+
+def holding_enough(item: np.ndarray, low: np.ndarray, high: np.ndarray, terms: np.ndarray, bench: Benchmark) -> np.ndarray:
+    """Which regions have words of their item at MIN_LCS_ANSWERED of its length or more places.
+
+    No common subsequence has more words than that, so no other region can leak.
+    """
+    order = np.argsort(item, kind="stable")
+    heads = np.flatnonzero(np.diff(item[order], prepend=-1))
+    words, places = np.zeros(len(item), np.int64), np.zeros(len(terms) + 1, np.int32)
+    for some in np.split(order, heads[1:]) if len(order) else []:
+        here = np.zeros(len(bench.known), bool)
+        here[bench.words[item[some[0]]]] = True
+        np.cumsum(here[terms], out=places[1:], dtype=np.int32)
+        words[some] = places[high[some]] - places[low[some]]
+    return words >= MIN_LCS_ANSWERED * bench.lengths[item]
 
 
 def leaks_in(
@@ -211,12 +244,14 @@ def leaks_in(
     best: dict[tuple[int, int], tuple[float, bool]] = {}
     found = candidates(Passages(terms, places, bounds, weights), space, bench)
     text, item, begin = found.T
-    lengths = np.array([len(w) for w in bench.words], np.int64)[item]
+    lengths = bench.lengths[item]
     slack = STEP + lengths // 4
     located = np.repeat(np.arange(len(bounds) - 1, dtype=np.int64), np.diff(bounds)) << 32 | places
     low = np.searchsorted(located, text << 32 | np.maximum(begin - slack, 0))
     high = np.searchsorted(located, text << 32 | begin + lengths + slack)
-    for t, i, a, b in zip(text.tolist(), item.tolist(), low.tolist(), high.tolist()):
+    some = holding_enough(item, low, high, terms, bench)
+    regions = np.unique(np.stack([text[some], item[some], low[some], high[some]], axis=1), axis=0)
+    for t, i, a, b in regions.tolist():
         share, answered, leaked = bench.verified(i, terms[a:b], places[a:b])
         if leaked:
             best[t, i] = max(best.get((t, i), (0.0, False)), (share, answered))

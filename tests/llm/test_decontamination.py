@@ -4,6 +4,7 @@ import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 
 import __spark_entry__ as driver
 from bundlescope.llm import decontamination as d
@@ -142,3 +143,31 @@ def test_a_large_benchmark_is_searched_in_blocks(spark):
     whole = {(r.doc_id, r.item_id): r.answered for r in d.leaks(rows, bench).collect()}
     parts = {(r.doc_id, r.item_id): r.answered for r in d.leaks(rows, bench, max_words=200).collect()}
     assert set(whole) == set(parts) and len(parts) >= 0.9 * len(planted)
+
+
+def test_only_regions_that_can_leak_are_compared_word_by_word(monkeypatch):
+    rng = random.Random(9)
+    text = lambda n: " ".join("".join(rng.choices("abcdefghijklmnopqrst", k=2)) for _ in range(n))
+    items = [text(40) for _ in range(30)]
+    # A third of an item's words in a row: alike, but never a leak.
+    texts = [f"{text(50)} {' '.join(items[n].split()[:14])} {text(50)}" for n in range(20)]
+    texts += [f"{text(50)} {items[3]} {text(50)}"]
+    bench = d.Benchmark([{"item_id": n, "text": t} for n, t in enumerate(items)])
+    found = d.located(pa.array(texts, pa.large_string()), bench.known)
+    ones = np.ones(len(bench.known), np.float32)
+    space = d.latent_space(d.random_matrix(len(bench.known)), ones)
+    bench.place(space, ones)
+    rows = d.candidates(d.Passages(*found, ones), space, bench)
+    compared, verified = [], d.Benchmark.verified
+    monkeypatch.setattr(d.Benchmark, "verified", lambda *a: compared.append(a) or verified(*a))
+    leaked = d.leaks_in(*found, ones, space, bench)
+    assert (20, 3, 1.0, True) in leaked
+    assert 0 < len(compared) < len(rows) / 2
+
+
+def test_segments_are_summed_like_their_terms():
+    found = d.Passages(
+        np.array([1, 0, 2, 1, 1], np.int32), np.array([0, 3, 15, 16, 2], np.int32), np.array([0, 4, 5]), np.ones(3, np.float32)
+    )
+    vectors = np.arange(6, dtype=np.float32).reshape(3, 2)
+    assert found.sums(vectors).tolist() == [[6, 9], [2, 3], [2, 3]]
