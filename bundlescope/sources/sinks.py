@@ -25,13 +25,13 @@ def append_json(df: DataFrame, path: str) -> None:
 
 
 def append_batches(df: DataFrame, path: str, batch: str = "grp") -> None:
-    """All batches in one job, a folder per batch, beside what is there.
+    """All batches in one job, the rows of a batch in one file, beside what is there.
 
     Together with skipping apps that have a result this is a resumable load: a
-    run that fails commits nothing and can simply be repeated. Rows are brought
-    together by batch first, else every task would open a file in every batch.
+    run that fails commits nothing and can simply be repeated. Files hold many batches, with
+    the batch as a field: a folder for each would be committed one by one by the driver.
     """
-    df.repartitionByRange(batch).write.partitionBy(batch).mode("append").json(path)
+    append_json(df.repartitionByRange(batch), path)
 
 
 def replace_batches(df: DataFrame, path: str, batch: str = "grp") -> None:

@@ -199,3 +199,13 @@ def test_scratch_is_deleted_when_nothing_needs_it(spark):
     assert not there(inner_path) and spark.read.parquet(outer).count() == 3
     session.delete_scratch(spark, ["/root", outer])
     assert not there(outer) and there("/root")
+
+
+def test_appended_batches_need_no_folder_each(spark, tmp_path):
+    path = tmp_path / "batches"
+    df = spark.range(2_000).selectExpr("cast(id as string) AS bundle", "id div 5 AS grp")
+    sinks.append_batches(df, str(path))
+    assert not [p for p in path.iterdir() if p.is_dir()]
+    read = spark.read.schema("bundle string, grp bigint").json(str(path))
+    assert read.selectExpr("*", "_metadata.file_name AS f").groupBy("grp").agg({"f": "approx_count_distinct"}).where("`approx_count_distinct(f)` > 1").count() == 0
+    assert sorted(read.collect()) == sorted(df.collect())
