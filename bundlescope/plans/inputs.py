@@ -241,6 +241,13 @@ class Inputs:
     def view(self, name: str) -> DataFrame:
         return self.sql(f"SELECT * FROM {name}")
 
+    def payloads(self) -> DataFrame:
+        """Payload documents. What they are made from is spread over tasks by app first: a
+        small file is read by one task, which would then make and parse every document."""
+        self.table("part").repartition("p_partkey").createOrReplaceTempView("spread_part")
+        views = {name: re.sub(r"\bFROM part p\b", "FROM spread_part p", text) for name, text in INPUTS.items()}
+        return self.spark.sql(with_inputs("SELECT * FROM fx_payload", views))
+
     def sightings(self) -> DataFrame:
         """Device records with their apps as a nested list, which may be empty or missing."""
         return self.sql("""

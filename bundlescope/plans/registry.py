@@ -233,30 +233,30 @@ def _fields(df: DataFrame, record: str) -> DataFrame:
 
 @query
 def lookup_metadata(i: Inputs) -> DataFrame:
-    read = metadata.with_lookup(i.view("fx_payload"))
+    read = metadata.with_lookup(i.payloads())
     record = F.coalesce("lookup", metadata.not_found()).alias("lookup")
     return _fields(read.select("bundle", record), "lookup")
 
 
 @query
 def store_a_metadata(i: Inputs) -> DataFrame:
-    return _fields(metadata.with_store_a(i.view("fx_payload")), "store_a")
+    return _fields(metadata.with_store_a(i.payloads()), "store_a")
 
 
 @query
 def store_b_metadata(i: Inputs) -> DataFrame:
-    return _fields(metadata.with_store_b(i.view("fx_payload")), "store_b")
+    return _fields(metadata.with_store_b(i.payloads()), "store_b")
 
 
 @query
 def metadata_fallback(i: Inputs) -> DataFrame:
-    return _fields(metadata.store_metadata(i.view("fx_payload")), "mapped_info")
+    return _fields(metadata.store_metadata(i.payloads()), "mapped_info")
 
 
 @query
 def batch_metadata(i: Inputs) -> DataFrame:
     """Metadata attached to numbered apps; apps without payloads are Not Found."""
-    looked_up = metadata.look_up(batching.batched(_all_audiences(i)), i.view("fx_payload"))
+    looked_up = metadata.look_up(batching.batched(_all_audiences(i)), i.payloads())
     return looked_up.select("bundle", "unique_ifa", "rn", "grp", "mapped_info.*")
 
 
@@ -264,7 +264,7 @@ def batch_metadata(i: Inputs) -> DataFrame:
 def batch_metadata_large_list(i: Inputs) -> DataFrame:
     """The other way round, for a list of apps too long to broadcast."""
     batches = batching.batched(_all_audiences(i))
-    looked_up = metadata.look_up(batches, i.view("fx_payload"), max_rows=0)
+    looked_up = metadata.look_up(batches, i.payloads(), max_rows=0)
     return looked_up.select("bundle", "unique_ifa", "rn", "grp", "mapped_info.*")
 
 
@@ -275,7 +275,7 @@ def batch_append(i: Inputs) -> DataFrame:
     listed = _all_audiences(i)
     for todo in (listed.where(platform("bundle") == "IOS"), listed):
         pending = batching.pending(todo, files.read_results_so_far(i.spark, path))
-        found = metadata.look_up(batching.batched(pending, 50), i.view("fx_payload"))
+        found = metadata.look_up(batching.batched(pending, 50), i.payloads())
         sinks.append_batches(found, path)
     return files.read_results_so_far(i.spark, path).select("bundle", "unique_ifa", "mapped_info.*")
 
@@ -574,7 +574,7 @@ def monthly_refresh_view(i: Inputs) -> DataFrame:
         sightings=i.sightings(),
         known=i.view("fx_known_apps"),
         done=i.view("fx_done"),
-        payloads=i.view("fx_payload"),
+        payloads=i.payloads(),
         ref_app=i.view("fx_ref_app"),
         ref_persona=i.view("fx_ref_persona"),
         master=i.view("fx_old_list"),

@@ -111,3 +111,15 @@ def test_partition_columns_only_for_missing_days(spark, tmp_path):
 def test_size_check_brings_one_row_to_the_driver(spark):
     df = spark.createDataFrame([("a", [1], None)], "t string, l array<int>, n int")
     assert joins.fits_broadcast(df)
+
+
+def test_payloads_are_made_and_parsed_by_several_tasks(spark, tmp_path):
+    rows = "id AS p_partkey, 'a' AS p_name, 'b' AS p_brand, 'PROMO' AS p_type, 3 AS p_size, 1.0D AS p_retailprice"
+    spark.range(100).selectExpr(*rows.split(", ")).coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = registry.registered()["store_a_metadata"](spark, str(tmp_path))
+        tasks = found.selectExpr("spark_partition_id() AS task").distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert tasks > 1 and found.count() == 100
