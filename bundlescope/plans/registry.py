@@ -93,8 +93,7 @@ def sightings_from_table(i: Inputs) -> DataFrame:
     """One month through a catalog table that knows the folder of each day."""
     root, table = f"{_by_key(i)}/", f"bundlescope_sightings_{uuid.uuid4().hex}"
     sightings.create_sightings_table(i.spark, table, root)
-    days = i.sightings().select("country", "date").distinct().collect()
-    sightings.add_days(i.spark, table, root, days, sightings.KEYED)
+    sightings.add_days(i.spark, table, root, sightings.keyed_days(i.spark, root), sightings.KEYED)
     return usage.device_apps(sightings.read_sightings_table(i.spark, table, *PERIOD), "country", "date")
 
 

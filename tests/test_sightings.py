@@ -142,3 +142,11 @@ def test_any_layout_by_path(spark, rows, tmp_path, layout):
 def test_a_plain_folder_that_is_missing_fails_the_read(spark, tmp_path):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         sightings.read_sightings_by_path(spark, f"{tmp_path}/none/", "20200101", "20200101", ["MY"])
+
+
+def test_days_are_read_off_their_folders(spark, tmp_path):
+    rows = [("MY", "20200101"), ("MY", "20200102"), ("TH", "20200102"), ("MY", None), (None, "20200101")]
+    df = spark.createDataFrame([(c, d, 1) for c, d in rows], "country string, date string, n int")
+    df.write.partitionBy("country", "date").parquet(f"{tmp_path}/days")
+    assert sightings.keyed_days(spark, f"{tmp_path}/days/") == rows[:3]
+    assert sightings.keyed_days(spark, f"{tmp_path}/none") == []
