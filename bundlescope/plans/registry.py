@@ -67,6 +67,13 @@ def _by_key(i: Inputs) -> str:
     return _once(i, "sightings", write)
 
 
+def _records(i: Inputs) -> DataFrame:
+    """The sightings as plain files, for queries that read them several times."""
+    rows = i.sightings()
+    path = _once(i, "records", rows.write.parquet)
+    return i.spark.read.schema(rows.schema).parquet(path)
+
+
 @query
 def sightings_exploded(i: Inputs) -> DataFrame:
     return usage.device_apps(i.sightings(), "country", "date")
@@ -116,7 +123,8 @@ def unique_devices_by_day(i: Inputs) -> DataFrame:
     """
     root, table = scratch_path(i.spark, "devices"), f"bundlescope_devices_{uuid.uuid4().hex}"
     first = F.col("date") < MIDDLE
-    for part in (i.sightings().where(first), i.sightings().where(~first)):
+    records = _records(i)
+    for part in (records.where(first), records.where(~first)):
         device_store.add_sightings(part, table, root, buckets=8, sparse=1)
     return device_store.unique_devices(i.spark, root, "00000000", "99999999", "country", "bundle")
 

@@ -125,7 +125,7 @@ def test_payloads_are_made_and_parsed_by_several_tasks(spark, tmp_path):
     assert tasks > 1 and found.count() == 100
 
 
-@pytest.mark.parametrize("name", ["sightings_from_table"])
+@pytest.mark.parametrize("name", ["unique_devices_by_day", "sightings_from_table"])
 def test_sightings_are_derived_once(spark, monkeypatch, name):
     derived, sightings = [], registry.Inputs.sightings
     monkeypatch.setattr(registry.Inputs, "sightings", lambda i: derived.append(i) or sightings(i))
