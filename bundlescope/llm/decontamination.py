@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bundlescope.llm.arrow import list_bounds, set_apart, stored, table, text_slices, words_of
+from bundlescope.llm.arrow import list_bounds, ragged, set_apart, stored, table, text_slices, words_of
 
 RANK = 96
 STEP = 16
@@ -221,20 +221,48 @@ def candidates(found: Passages, space: np.ndarray, bench: Benchmark) -> np.ndarr
     return np.concatenate(rows)
 
 
+def _cut(sizes: np.ndarray) -> Iterator[slice]:
+    """Runs of regions whose sizes come to some MAX_TERMS."""
+    if sizes.sum() < MAX_TERMS:
+        yield slice(None)
+        return
+    heads = np.flatnonzero(np.diff(np.cumsum(sizes) // MAX_TERMS, prepend=-1))
+    for first, end in zip(heads, np.append(heads[1:], len(sizes))):
+        yield slice(first, end)
+
+
 def holding_enough(item: np.ndarray, low: np.ndarray, high: np.ndarray, terms: np.ndarray, bench: Benchmark) -> np.ndarray:
-    """Which regions have words of their item at MIN_LCS_ANSWERED of its length or more places.
+    """Item, low and high of the regions, each once, that hold MIN_LCS_ANSWERED of their item's words.
 
-    No common subsequence has more words than that, so no other region can leak.
+    Counted are the item's places whose word is in the region. No common subsequence has more
+    words than that, so no other region can leak.
     """
     order = np.argsort(item, kind="stable")
     heads = np.flatnonzero(np.diff(item[order], prepend=-1))
-    words, places = np.zeros(len(item), np.int64), np.zeros(len(terms) + 1, np.int32)
+    size = len(terms) + 1
+    local = np.zeros(len(bench.known), np.int32)
+    kept = [np.zeros((0, 3), np.int64)]
     for some in np.split(order, heads[1:]) if len(order) else []:
-        here = np.zeros(len(bench.known), bool)
-        here[bench.words[item[some[0]]]] = True
-        np.cumsum(here[terms], out=places[1:], dtype=np.int32)
-        words[some] = places[high[some]] - places[low[some]]
-    return words >= MIN_LCS_ANSWERED * bench.lengths[item]
+        here = item[some[0]]
+        counts, enough = bench.counts[here], MIN_LCS_ANSWERED * bench.lengths[here]
+        words = list(counts)
+        local[words] = np.arange(1, len(words) + 1)
+        regions = np.unique(low[some] * size + high[some])
+        first, end = regions // size, regions % size
+        if (end - first).sum() > size:  # long items: first those with enough places, which takes no time for each region
+            places = np.concatenate([[0], np.cumsum(local[terms] > 0)])
+            enough_places = places[end] - places[first] >= enough
+            first, end = first[enough_places], end[enough_places]
+        lengths, times = end - first, np.array([0, *counts.values()], np.float32)
+        for part in _cut(lengths + len(words)):
+            present = np.zeros((len(lengths[part]), len(times)), bool)
+            found = local[terms[ragged(first[part], lengths[part])]]
+            present[np.repeat(np.arange(len(present)), lengths[part]), found] = True
+            good = np.flatnonzero(present @ times >= enough)
+            if len(good):
+                kept.append(np.stack([np.full(len(good), here), first[part][good], end[part][good]], axis=1))
+        local[words] = 0
+    return np.concatenate(kept)
 
 
 def leaks_in(
@@ -249,9 +277,9 @@ def leaks_in(
     located = np.repeat(np.arange(len(bounds) - 1, dtype=np.int64), np.diff(bounds)) << 32 | places
     low = np.searchsorted(located, text << 32 | np.maximum(begin - slack, 0))
     high = np.searchsorted(located, text << 32 | begin + lengths + slack)
-    some = holding_enough(item, low, high, terms, bench)
-    regions = np.unique(np.stack([text[some], item[some], low[some], high[some]], axis=1), axis=0)
-    for t, i, a, b in regions.tolist():
+    regions = holding_enough(item, low, high, terms, bench)
+    owner = np.searchsorted(bounds, regions[:, 1], side="right") - 1
+    for t, (i, a, b) in zip(owner.tolist(), regions.tolist()):
         share, answered, leaked = bench.verified(i, terms[a:b], places[a:b])
         if leaked:
             best[t, i] = max(best.get((t, i), (0.0, False)), (share, answered))

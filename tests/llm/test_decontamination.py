@@ -171,3 +171,25 @@ def test_segments_are_summed_like_their_terms():
     )
     vectors = np.arange(6, dtype=np.float32).reshape(3, 2)
     assert found.sums(vectors).tolist() == [[6, 9], [2, 3], [2, 3]]
+
+
+def test_regions_hold_enough_of_their_item():
+    """The regions left are those whose words could make up half of the item, each once."""
+    rng = np.random.default_rng(10)
+    vocabulary = [f"w{k}" for k in range(300)]
+    texts = [" ".join(rng.choice(vocabulary, n)) for n in (3, 40, 200, 900)] + ["w1 w1 w1 w2"]
+    bench = d.Benchmark([{"item_id": n, "text": t} for n, t in enumerate(texts)])
+    terms = rng.integers(0, len(bench.known), 500).astype(np.int32)
+    item, low = rng.integers(0, len(texts), 4000), rng.integers(0, 450, 4000)
+    high = np.minimum(low + rng.integers(0, 500, 4000), len(terms))
+    may, must = set(), set()
+    for i, a, b in zip(item.tolist(), low.tolist(), high.tolist()):
+        words, region = collections.Counter(bench.words[i]), collections.Counter(terms[a:b].tolist())
+        if 2 * sum(n for w, n in words.items() if w in region) >= words.total():
+            may.add((i, a, b))
+        if 2 * (words & region).total() >= words.total():
+            must.add((i, a, b))
+    twice = [np.concatenate([x, x]) for x in (item, low, high)]
+    found = list(map(tuple, d.holding_enough(*twice, terms, bench).tolist()))
+    assert len(set(found)) == len(found) and must <= set(found) <= may
+    assert 0 < len(must) < 3000
