@@ -530,7 +530,7 @@ def json_batches(i: Inputs) -> DataFrame:
     for _ in range(2):
         sinks.replace_batches(batches, path)
     schema = "bundle string, unique_ifa bigint, rn bigint, grp bigint"
-    return i.spark.read.schema(schema).json(path)
+    return i.spark.read.schema(schema).json(path).select("bundle", "unique_ifa", "rn", "grp")
 
 
 @query

@@ -82,6 +82,25 @@ def test_appending_and_replacing_batches(spark, tmp_path):
     assert spark.read.json(replaced).count() == 3
 
 
+def test_replaced_batches_share_folders_and_leave_others_alone(spark, tmp_path):
+    path = str(tmp_path / "replace")
+    df = spark.range(2000).selectExpr("cast(id as string) AS bundle", "nullif(id % 200, 7) AS grp")
+    sinks.replace_batches(df, path)
+    assert len(list((tmp_path / "replace").glob("*=*"))) <= 5
+    untouched = {f.name for f in (tmp_path / "replace" / "part=2").iterdir()}
+    other = spark.createDataFrame([("x", 3, None), ("y", None, 1), ("z", 500, 2)], "bundle string, grp bigint, extra int")
+    for _ in range(2):
+        sinks.replace_batches(other, path)
+    read = spark.read.schema("bundle string, grp bigint, extra int").json(path).select("bundle", "grp", "extra")
+    kept = df.where("grp <> 3").selectExpr("bundle", "grp", "cast(null AS int) AS extra")
+    assert sorted(map(repr, read.collect())) == sorted(map(repr, kept.union(other).collect()))
+    assert {f.name for f in (tmp_path / "replace" / "part=2").iterdir()} == untouched
+    named = spark.createDataFrame([("a", "one"), ("b", "two"), ("c", None)], "bundle string, grp string")
+    sinks.replace_batches(named, f"{path}-named")
+    sinks.replace_batches(named.where("bundle = 'b'"), f"{path}-named")
+    assert spark.read.json(f"{path}-named").count() == 3
+
+
 def test_appended_batches_make_few_files(spark, tmp_path):
     df = spark.range(20_000).selectExpr("cast(id as string) AS bundle", "id % 40 AS grp").repartition(40)
     sinks.append_batches(df, str(tmp_path / "batches"))
