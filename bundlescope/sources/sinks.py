@@ -59,6 +59,8 @@ def replace_batches(df: DataFrame, path: str, batch: str = "grp") -> None:
     spark = df.sparkSession
     lines = df.select(F.to_json(F.struct("*")).alias("value"), F.col(batch).alias("batch"), _folder(df, batch).alias("part"))
     old = spark.read.text(path) if existing(spark, [path]) else None
+    if old is not None and batch in old.columns:
+        raise ValueError(f"{path} has a folder per batch; write it anew")
     if old is not None and "part" in old.columns:
         lines = stored(lines, "replacing")
         field = T.StructType([df.schema[batch]])

@@ -101,6 +101,13 @@ def test_replaced_batches_share_folders_and_leave_others_alone(spark, tmp_path):
     assert spark.read.json(f"{path}-named").count() == 3
 
 
+def test_a_folder_per_batch_is_not_mixed_with_shared_ones(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1)], "bundle string, grp bigint")
+    df.write.partitionBy("grp").json(str(tmp_path / "old"))
+    with pytest.raises(ValueError, match="a folder per batch"):
+        sinks.replace_batches(df, str(tmp_path / "old"))
+
+
 def test_appended_batches_make_few_files(spark, tmp_path):
     df = spark.range(20_000).selectExpr("cast(id as string) AS bundle", "id % 40 AS grp").repartition(40)
     sinks.append_batches(df, str(tmp_path / "batches"))
