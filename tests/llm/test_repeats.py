@@ -3,6 +3,8 @@ import hashlib
 import random
 
 import duckdb
+import numpy as np
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from bundlescope.llm import repeats
@@ -57,3 +59,57 @@ def test_odd_texts(spark, tmp_path):
 
 def test_no_rows(spark):
     assert repeats.without_repeats(spark.createDataFrame([], "doc_id bigint, text string")).collect() == []
+
+
+def near_copies(rng, count=40):
+    """Texts of their own, and versions of one text that differ in a few places."""
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randrange(2, 9)))
+    rows = [" ".join(word() for _ in range(300)) for _ in range(count)]
+    words = rows[0].split()
+    for _ in range(6):
+        changed = list(words)
+        for at in rng.sample(range(300), 2):
+            changed[at] = word()
+        rows.append(" ".join(changed))
+    return list(enumerate(rows))
+
+
+def test_rows_are_written_of_what_repeats(spark, monkeypatch):
+    rows = near_copies(random.Random(3), 200)
+    written = []
+
+    def counted(df, label):
+        frame = stored(df, label)
+        written.append(frame.count())
+        return frame
+
+    stored = repeats.stored
+    monkeypatch.setattr(repeats, "stored", counted)
+    found = repeats.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    got = found.withColumn("kept_sha256", F.sha2("kept", 256))
+    assert compared(got) == plain(rows)
+    assert any(r[2] for r in compared(got))
+    # A row per block would be 7,154 rows, and one per window of the blocks that differ 5,025 more.
+    assert sum(written) < 3_000
+
+
+def test_full_bits_lose_nothing(spark, monkeypatch):
+    rows = near_copies(random.Random(4))
+    docs = spark.createDataFrame([*rows, (None, None), (99, rows[1][1])], "doc_id bigint, text string")
+    full = lambda keys, column: spark.sparkContext.broadcast(np.full(4096, 255, np.uint8))
+    monkeypatch.setattr(repeats, "bits_of", full)
+    got = repeats.without_repeats(docs).withColumn("kept_sha256", F.sha2("kept", 256))
+    assert compared(got) == plain([*rows, (None, None), (99, rows[1][1])])
+
+
+def test_bits_of_keys(spark):
+    rng = np.random.default_rng(5)
+    keys = rng.integers(-(1 << 63), 1 << 63, 9_000)
+    frame = spark.createDataFrame([(int(k),) for k in keys], "key bigint")
+    bits = repeats.bits_of(frame, "key").value
+    assert len(bits) * 8 == 1 << 18
+    assert repeats.perhaps(bits, keys).all()
+    assert repeats.perhaps(bits, rng.integers(-(1 << 63), 1 << 63, 100_000)).mean() < 0.05
+    fewer = repeats.bits_of(frame, "key", 1 << 16).value
+    assert len(fewer) * 8 == 1 << 16 and repeats.perhaps(fewer, keys).all()
+    assert not repeats.perhaps(repeats.bits_of(frame.where("false"), "key").value, keys).any()
