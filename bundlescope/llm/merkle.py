@@ -12,7 +12,8 @@ proof addresses its siblings by these positions alone; no node holds a pointer.
 The log is built in layers of aligned blocks of 2 ** ``BLOCK_LEVELS`` nodes. A
 builder takes one block, logs its nodes and hands its last node to the layer above,
 where these are leaves again, until each tree has one node left. A block's log is
-one row, so neither builders nor proofs see more than one block of a tree at once,
+one row. Nodes and rows come to builders and proofs one by one, in order, behind the
+log of their block; neither holds more than one block of a tree at once,
 and a tree that holds most rows is spread over as many builders as it has blocks.
 The driver sees the number of layers only.
 
@@ -144,22 +145,42 @@ _LOG_ARROW = pa.schema(
 )
 
 
+def _in_blocks(rows: DataFrame, block_levels: int) -> DataFrame:
+    """Rows of tree and index with ``block``, all of a block in one partition in ascending order; a
+    row without index, whose block is known, comes first."""
+    block = F.coalesce("block", F.expr(f"shiftright(index, {block_levels})"))
+    return rows.withColumn("block", block).repartition("tree", "block").sortWithinPartitions(
+        "tree", "block", F.asc_nulls_first("index")
+    )
+
+
 def _logged(units: DataFrame, block_levels: int) -> DataFrame:
     """One row per aligned block of tree, index, digest (binary), units (in the layer), leaves."""
-    block = F.expr(f"shiftright(index, {block_levels})").alias("block")
-    grouped = units.groupBy("tree", block, "units", "leaves").agg(
-        F.array_sort(F.collect_list(F.struct("index", "digest")))["digest"].alias("digests")
-    )
+    names = ("tree", "block", "units", "leaves")
 
     def log(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, digests = None, []
+
+        def done() -> pa.RecordBatch:
+            tree, number, of_layer, leaves = last
+            levels = min(block_levels, height(of_layer))
+            nodes = block_log(b"".join(digests), levels)
+            row = (tree, number, len(digests), levels, leaves, nodes, nodes[-_SIZE:])
+            return table(_LOG_ARROW, [[x] for x in row])
+
         for batch in batches:
-            for tree, number, of_layer, leaves, digests in zip(*(c.to_pylist() for c in batch.columns)):
-                levels = min(block_levels, height(of_layer))
-                nodes = block_log(b"".join(digests), levels)
-                row = (tree, number, len(digests), levels, leaves, nodes, nodes[-_SIZE:])
-                yield table(_LOG_ARROW, [[x] for x in row])
+            columns = [batch.column(c).to_pylist() for c in (*names, "digest")]
+            for *block, digest in zip(*columns):
+                if block != last:
+                    if digests:
+                        yield done()
+                    last, digests = block, []
+                digests.append(digest)
+        if digests:
+            yield done()
 
-    return grouped.mapInArrow(log, _LOG)
+    rows = units.withColumn("block", F.lit(None).cast("bigint"))
+    return _in_blocks(rows, block_levels).select(*names, "digest").mapInArrow(log, _LOG)
 
 
 def build(leaves: DataFrame, block_levels: int = BLOCK_LEVELS) -> Manifest:
@@ -188,22 +209,14 @@ def proofs(manifest: Manifest, asked: DataFrame) -> DataFrame:
     ``asked`` has tree and index, each leaf at most once, besides any other columns.
     """
     levels, above = manifest.block_levels, None
-    for layer in reversed(manifest.layers[1:]):
-        children = layer.select("tree", "block", F.expr("sequence(0L, n - 1)").alias("places"))
-        each = children.select(
-            "tree", "block", F.transform("places", lambda k: F.struct(
-                (F.shiftleft("block", levels) + k).alias("index"))).alias("rows")
-        )
+    for below, layer in reversed(list(zip(manifest.layers, manifest.layers[1:]))):
+        each = below.select("tree", F.col("block").alias("index"))
         above = _proved(layer, above, each, levels).select("tree", "index", "proof")
-    named = [c for c in asked.columns if c != "tree"]
-    grouped = asked.groupBy("tree", F.expr(f"shiftright(index, {levels})").alias("block")).agg(
-        F.collect_list(F.struct(*[F.col(f"`{c}`") for c in named])).alias("rows")
-    )
-    return _proved(manifest.layers[0], above, grouped, levels)
+    return _proved(manifest.layers[0], above, asked, levels)
 
 
-def _proved(layer: DataFrame, above: DataFrame | None, rows: DataFrame, block_levels: int) -> DataFrame:
-    """Rows (a list per tree and block) one by one, with siblings in the block and above it."""
+def _proved(layer: DataFrame, above: DataFrame | None, asked: DataFrame, block_levels: int) -> DataFrame:
+    """The asked rows with the siblings in their block and above it, one by one behind its log."""
     logs = layer.select("tree", "block", "n", "levels", "log")
     if above is None:
         logs = logs.withColumn("path", F.lit(b""))
@@ -212,23 +225,31 @@ def _proved(layer: DataFrame, above: DataFrame | None, rows: DataFrame, block_le
         same = (F.col("tree") == F.col("_tree")) & (F.col("block") == F.col("_index"))
         path = F.coalesce("proof", F.lit(b"")).alias("path")
         logs = logs.join(upper, same, "left").select("tree", "block", "n", "levels", "log", path)
-    joined = rows.join(logs, ["tree", "block"]).select("tree", "n", "levels", "log", "path", "rows")
-    kind = rows.schema["rows"].dataType.elementType
+    named = F.struct(*[F.col(f"`{c}`") for c in asked.columns if c != "tree"])
+    rows = asked.select("tree", F.col("index").cast("bigint").alias("index"), named.alias("row"))
+    kind = rows.schema["row"].dataType
     mask = (1 << block_levels) - 1
 
     def prove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, log = None, ()
         for batch in batches:
-            for n in range(batch.num_rows):
-                tree, leaves, levels, log, path = (c[n].as_py() for c in batch.columns[:5])
-                found = batch.column("rows")[n].values
-                places = found.field("index").to_pylist()
-                proof = [siblings(log, k & mask, leaves, levels) + path for k in places]
-                named = pa.array([tree] * len(found), pa.string())
-                yield pa.RecordBatch.from_arrays(
-                    [named, found, pa.array(proof, pa.binary())], names=["tree", "row", "proof"]
-                )
-
-    done = joined.mapInArrow(prove, f"tree string, row {kind.simpleString()}, proof binary")
+            places, proof = [], []
+            parts = [batch.column(c) for c in ("n", "levels", "log", "path")]
+            keys = [batch.column(c).to_pylist() for c in ("tree", "block", "index")]
+            for at, (tree, number, index) in enumerate(zip(*keys)):
+                if index is None:
+                    block, log = (tree, number), [part[at].as_py() for part in parts]
+                elif (tree, number) == block:
+                    leaves, levels, nodes, path = log
+                    places.append(at)
+                    proof.append(siblings(nodes, index & mask, leaves, levels) + path)
+            found = batch.select(["tree", "row"]).take(pa.array(places, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [*found.columns, pa.array(proof, pa.binary())], names=["tree", "row", "proof"]
+            )
+
+    together = _in_blocks(logs.unionByName(rows, allowMissingColumns=True), block_levels)
+    done = together.mapInArrow(prove, f"tree string, row {kind.simpleString()}, proof binary")
     return done.select("tree", "row.*", "proof")
 
 

@@ -97,6 +97,29 @@ def test_manifest_equals_plain_trees(spark, block_levels):
     assert {r.folded_root for r in found} == {made.root}
 
 
+def test_rows_reach_builders_one_by_one(spark):
+    """Blocks go on across batches of a few rows, and no row holds a list of a block's leaves."""
+    rows = [(n, "t", ["en", "de", "en", None][n % 4], "s", n) for n in range(150)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    most = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(most)
+    spark.conf.set(most, "7")
+    try:
+        leaf = merkle.row_digest([F.col(c) for c in merkle.FIELDS])
+        made = merkle.dataset_manifest(docs.withColumn("digest", leaf), "lang", "doc_id", 4)
+        found = merkle.with_folded_root(made.rows, "digest").collect()
+        units = made.rows.select("tree", "index", F.unhex("digest").alias("digest"), F.col("leaves").alias("units"), "leaves")
+        plans = [x._jdf.queryExecution().executedPlan().toString() for x in (made.rows, merkle._logged(units, 4))]
+    finally:
+        spark.conf.set(most, before)
+    got = sorted(((r.doc_id, r.digest, r.subroot, made.root, sha((r.proof + r.top_proof).hex())) for r in found), key=repr)
+    names = ("doc_id", "text", "lang", "source", "n_chars")
+    assert got == sorted(plain([dict(zip(names, r)) for r in rows]), key=repr)
+    assert {r.folded_root for r in found} == {made.root}
+    for plan in plans:
+        assert "MapInArrow" in plan and "collect_list" not in plan
+
+
 def test_tampering_shows(spark):
     rows = [(n, "t", "en", "s", n) for n in range(30)]
     docs = spark.createDataFrame(rows, DOCS)
